@@ -23,7 +23,9 @@ from tidepost.functions.text import (
 from tidepost.operators.counts import count_histogram, distribution, median_from_histogram
 from tidepost.operators.shape import rows_of
 
-_ROWS = F.count(F.lit(1))
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def with_time_parts(df: DataFrame, ts: str) -> DataFrame:
@@ -46,7 +48,7 @@ def range_summary(df: DataFrame, ts: str, amount: str) -> DataFrame:
         F.max(ts).alias("last_ts"),
         F.timestamp_diff("DAY", F.min(ts), F.max(ts)).alias("days"),
         F.count(ts).alias("valid_rows"),
-        _ROWS.alias("rows"),
+        _rows().alias("rows"),
         F.sum(amount).alias("total_amount"),
         F.avg(amount).alias("mean_amount"),
     )
@@ -55,7 +57,7 @@ def range_summary(df: DataFrame, ts: str, amount: str) -> DataFrame:
 def filter_effect(df: DataFrame, keep: Column) -> DataFrame:
     """One row: rows before and after a filter, removed rows and their percentage."""
     return (
-        df.agg(_ROWS.alias("rows_before"), F.count_if(keep).alias("rows_after"))
+        df.agg(_rows().alias("rows_before"), F.count_if(keep).alias("rows_after"))
         .withColumn("removed", F.col("rows_before") - F.col("rows_after"))
         .withColumn("removed_pct", percent(F.col("removed"), F.col("rows_before")))
     )
@@ -66,7 +68,7 @@ def filter_effect(df: DataFrame, keep: Column) -> DataFrame:
 
 def _posts_per_user(df: DataFrame, user: str) -> DataFrame:
     """How many users have each number of posts; posts without a user are one flagged key."""
-    per_user = df.groupBy(user).agg(_ROWS.alias("posts"))
+    per_user = df.groupBy(user).agg(_rows().alias("posts"))
     return count_histogram(
         per_user.select("posts", F.col(user).isNotNull().alias("known")), "posts", "known"
     )
@@ -136,7 +138,7 @@ def daily_counts(df: DataFrame, ts: str) -> DataFrame:
     return (
         df.filter(F.col(ts).isNotNull())
         .groupBy(F.to_date(ts).alias("date"))
-        .agg(_ROWS.alias("n"))
+        .agg(_rows().alias("n"))
         .orderBy("date")
     )
 
@@ -145,7 +147,7 @@ def hourly_counts(df: DataFrame, ts: str) -> DataFrame:
     return (
         df.filter(F.col(ts).isNotNull())
         .groupBy(F.hour(ts).alias("hour"))
-        .agg(_ROWS.alias("n"))
+        .agg(_rows().alias("n"))
         .orderBy("hour")
     )
 
@@ -169,7 +171,7 @@ def day_totals(df: DataFrame, ts: str, day: str, metrics: Sequence[str]) -> Data
     """Rows and sums of the metrics on one day."""
     rows = df.filter(in_dates(ts, day, day))
     sums = [F.coalesce(F.sum(m), F.lit(0)).alias(f"total_{m}") for m in metrics]
-    return rows.agg(_ROWS.alias("rows"), *sums)
+    return rows.agg(_rows().alias("rows"), *sums)
 
 
 def top_posts(
@@ -238,7 +240,7 @@ def category_counts(df: DataFrame, text: str, categories: Mapping[str, Sequence[
         F.count_if(mentions(text, patterns)).alias(f"_c{i}")
         for i, patterns in enumerate(categories.values())
     ]
-    one = df.agg(_ROWS.alias("_rows"), *hits)
+    one = df.agg(_rows().alias("_rows"), *hits)
     rows = [
         {
             "category": F.lit(name),
@@ -339,7 +341,7 @@ def interaction_structure(df: DataFrame, reference: DataFrame | None = None) ->
 
     def shares(rows: DataFrame) -> DataFrame:
         counted = rows.agg(
-            _ROWS.alias("rows"), *[F.count_if(F.col(c)).alias(k) for k, c in _KINDS.items()]
+            _rows().alias("rows"), *[F.count_if(F.col(c)).alias(k) for k, c in _KINDS.items()]
         )
         return counted.select(
             F.struct(
@@ -363,7 +365,7 @@ def interaction_structure(df: DataFrame, reference: DataFrame | None = None) ->
 
 def interaction_distribution(df: DataFrame) -> DataFrame:
     """Posts per number of interaction kinds and their percentage."""
-    counts = df.groupBy("interactions").agg(_ROWS.alias("n"))
+    counts = df.groupBy("interactions").agg(_rows().alias("n"))
     total = F.sum("n").over(Window.partitionBy())  # three rows at most
     return counts.withColumn("pct", percent(F.col("n"), total)).orderBy("interactions")
 
@@ -391,7 +393,7 @@ def repeated_texts(
     return (
         _long_texts(df, text, author, min_words)
         .groupBy("norm_text")
-        .agg(_ROWS.alias("copies"), F.count_distinct("author").alias("authors"))
+        .agg(_rows().alias("copies"), F.count_distinct("author").alias("authors"))
         .filter(F.col("copies") > 1)
         .withColumn("coordinated", F.col("authors") >= authors)
     )
@@ -415,7 +417,7 @@ def repeated_totals(
     sizes = (
         df.select(F.when(word_count(norm) >= min_words, norm).alias("norm_text"))
         .groupBy("norm_text")
-        .agg(_ROWS.alias("copies"))
+        .agg(_rows().alias("copies"))
     )
     long = F.col("norm_text").isNotNull()
     repeated = long & (F.col("copies") > 1)
@@ -433,7 +435,7 @@ def repeated_totals(
 def text_statistics(df: DataFrame, text: str, short: int = fixed.MIN_TOKENS) -> DataFrame:
     """One row: mean length, median words, texts with fewer than ``short`` words."""
     sizes = df.groupBy(word_count(text).alias("words")).agg(
-        _ROWS.alias("texts"), F.sum(text_length(text).cast("bigint")).alias("chars")
+        _rows().alias("texts"), F.sum(text_length(text).cast("bigint")).alias("chars")
     )
     return sizes.agg(
         F.sum("texts").alias("texts"),
@@ -447,7 +449,7 @@ def text_statistics(df: DataFrame, text: str, short: int = fixed.MIN_TOKENS) ->
 def term_counts(df: DataFrame, text: str, stopwords: Sequence[str] = ()) -> DataFrame:
     """How often each term occurs."""
     terms = df.select(F.explode(tokenize(text, stopwords)).alias("term"))
-    return terms.groupBy("term").agg(_ROWS.alias("n"))
+    return terms.groupBy("term").agg(_rows().alias("n"))
 
 
 def term_total(df: DataFrame, text: str, stopwords: Sequence[str] = ()) -> DataFrame:
@@ -486,7 +488,7 @@ def term_lift(
         baseline.select(F.explode(tokenize(text, stopwords)).alias("term"))
         .join(F.broadcast(best.select("term")), "term", "left_semi")
         .groupBy("term")
-        .agg(_ROWS.alias("base_n"))
+        .agg(_rows().alias("base_n"))
     )
     total = term_total(target, text, stopwords).scalar()
     base_total = term_total(baseline, text, stopwords).scalar()
@@ -527,7 +529,7 @@ def findings(
 
     kinds = with_interactions(df, reply, quote)
     base = kinds.agg(
-        _ROWS.alias("posts"),
+        _rows().alias("posts"),
         F.to_date(F.min(ts)).alias("first_date"),
         F.to_date(F.max(ts)).alias("last_date"),
         F.timestamp_diff("DAY", F.min(ts), F.max(ts)).alias("days"),

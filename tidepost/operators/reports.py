@@ -23,7 +23,9 @@ from tidepost.functions.columns import (
 from tidepost.operators.counts import distribution
 from tidepost.operators.shape import rows_of
 
-_ROWS = F.count(F.lit(1))
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def report_rows(df: DataFrame, ts: str, label: str, numbers: Sequence[str]) -> DataFrame:
@@ -57,7 +59,7 @@ def report_filter(
 def sentiment_summary(df: DataFrame, label: str, irony: str, pending: str) -> DataFrame:
     """Rows, rows waiting for review and percentage of all, per label and irony."""
     grouped = df.groupBy(label, irony).agg(
-        _ROWS.alias("count"), F.count_if(F.col(pending)).alias("pending_review")
+        _rows().alias("count"), F.count_if(F.col(pending)).alias("pending_review")
     )
     total = F.sum("count").over(Window.partitionBy())
     return grouped.withColumn("percentage", F.round(F.col("count") * 100.0 / total, 2)).orderBy(
@@ -70,7 +72,7 @@ def kpi_row(
 ) -> DataFrame:
     """One row: total, number and percentage per label, mean confidence in percent, irony."""
     one = df.agg(
-        _ROWS.alias("total"),
+        _rows().alias("total"),
         *[F.count_if(F.col(label) == x).alias(f"n_{x}") for x in labels],
         (F.avg(confidence) * 100).alias("avg_confidence"),
         F.coalesce(F.sum(F.col(irony)), F.lit(0)).cast("bigint").alias("n_irony"),
@@ -82,7 +84,7 @@ def kpi_row(
 def monthly_counts(df: DataFrame, ts: str, label: str) -> DataFrame:
     return (
         df.groupBy(month_of(ts).alias("month"), label)
-        .agg(_ROWS.alias("count"))
+        .agg(_rows().alias("count"))
         .orderBy("month", label)
     )
 
@@ -153,7 +155,7 @@ def irony_by_label(df: DataFrame, irony: str, label: str, names: Mapping) -> Dat
     """Rows per irony class, by display name, and label."""
     return (
         df.groupBy(irony, label)
-        .agg(_ROWS.alias("count"))
+        .agg(_rows().alias("count"))
         .select(display_label(irony, names).alias("irony"), label, "count")
         .orderBy("irony", label)
     )
@@ -164,7 +166,7 @@ def high_uncertainty(
 ) -> DataFrame:
     """Rows above an entropy per label, with their total and its percentage of all rows."""
     grouped = df.groupBy(label).agg(
-        F.count_if(F.col(entropy) > threshold).alias("count"), _ROWS.alias("_rows")
+        F.count_if(F.col(entropy) > threshold).alias("count"), _rows().alias("_rows")
     )
     everything = Window.partitionBy()
     return (
@@ -187,7 +189,7 @@ def label_source_share(df: DataFrame, source: str) -> DataFrame:
 def irony_changes(df: DataFrame, before: str, after: str, matched: str) -> DataFrame:
     """One row: total, labels changed by irony, rows without an irony prediction."""
     return df.agg(
-        _ROWS.alias("total"),
+        _rows().alias("total"),
         F.count_if(F.col(before) != F.col(after)).alias("changed"),
         F.count_if(~F.col(matched)).alias("unmatched"),
     )
