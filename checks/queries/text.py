@@ -9,6 +9,7 @@ from tidepost.functions import text as t
 from tidepost.operators.dedup import dedup
 from tidepost.operators.counts import distribution
 from tidepost.operators.lookup import normalize_tokens_join
+from tidepost.operators.shape import compute_once
 from tidepost.plans.ingest import clean_posts, keyword_filter, min_tokens, word_filter
 
 _KEYWORD_TEST = " OR ".join(f"contains(lower(text), '{k}')" for k in KEYWORDS)
@@ -134,7 +135,7 @@ def p15(v):
          FROM documents) WHERE token_count >= 5""",
 )
 def p16(v):
-    docs = v.table("documents").withColumn("text_clean", t.clean_text("text"))
+    docs = compute_once(v.table("documents"), text_clean=t.clean_text("text"))
     return min_tokens(docs, "text_clean").select("doc_id", "token_count")
 
 
@@ -192,9 +193,8 @@ def ingest(v):
 
 def flagship(posts):
     """Relevant posts, cleaned, one per cleaned text, counted by language and source."""
-    cleaned = keyword_filter(posts, "text", KEYWORDS).withColumn(
-        "text_clean", t.clean_text("text", LOOKUP)
-    )
+    relevant = keyword_filter(posts, "text", KEYWORDS)
+    cleaned = compute_once(relevant, text_clean=t.clean_text("text", LOOKUP))
     kept = dedup(min_tokens(cleaned, "text_clean"), ["text_clean"], ["id"])
     return distribution(kept, ["lang", "source_file"], share=True)
 

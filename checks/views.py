@@ -11,6 +11,7 @@ from tidepost.functions.columns import resolve_sentiment
 from tidepost.functions.scores import best_label, confidence, entropy, softmax
 from tidepost.operators.lookup import attach_predictions
 from tidepost.plans.merge import fill_irony
+from tidepost.sources.files import read_stage
 
 LABELS = ["negative", "neutral", "positive"]
 PROBS = ["p_negative", "p_neutral", "p_positive"]
@@ -44,7 +45,8 @@ class Views:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        return read_stage(self.spark, path, spread=name in ("documents", "pages"))
 
     @cached_property
     def posts(self) -> DataFrame:

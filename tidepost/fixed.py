@@ -1,7 +1,8 @@
 """Fixed values that results depend on, in one place."""
 
-# Unicode classes for regular expressions; Java's bare \w and \s are ASCII only.
-WORD_CHARS = r"\p{L}\p{N}_"
+# Unicode classes for regular expressions; Java's bare \w and \s are ASCII only. Letters and digits
+# of ASCII are listed because the matcher looks them up in a table before it tries the classes.
+WORD_CHARS = r"a-zA-Z0-9_\p{L}\p{N}"
 SPACE_CHARS = r"\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}"
 BLANKS = (
     " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\u00a0\u1680"

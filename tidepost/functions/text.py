@@ -19,7 +19,6 @@ from tidepost import fixed
 
 _SYMBOL_RUN = rf"[^{fixed.WORD_CHARS}{re.escape(fixed.KEPT_PUNCTUATION)}]+"
 _SPACE_RUN = rf"[{fixed.SPACE_CHARS}]+"
-_NON_SPACE_RUN = rf"[^{fixed.SPACE_CHARS}]+"
 
 
 def _col(c: Column | str) -> Column:
@@ -137,7 +136,8 @@ def token_count(c: Column | str) -> Column:
 
 def word_count(c: Column | str) -> Column:
     """Words between white space; null and empty text count as zero."""
-    return F.regexp_count(F.coalesce(_col(c), F.lit("")), F.lit(_NON_SPACE_RUN))
+    text = strip(F.coalesce(_col(c), F.lit("")))
+    return F.when(text == "", 0).otherwise(F.size(F.split(text, _SPACE_RUN)))
 
 
 def text_length(c: Column | str) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -26,6 +26,7 @@ from tidepost.functions.scores import (
     margin,
     softmax,
 )
+from tidepost.session import materialize
 
 _TEXT, _LABEL = "_text", "_label"
 
@@ -36,33 +37,34 @@ def train_text_classifier(
     label: str,
     labels: Sequence[str],
     features: int = 1 << 16,
-    iterations: int = 50,
+    iterations: int = 30,
     regularization: float = 0.01,
 ) -> PipelineModel:
-    """Fit a classifier whose class i is ``labels[i]``; rows with other labels are left out."""
-    rows = (
-        df.select(
-            F.coalesce(text, F.lit("")).alias(_TEXT),
-            encode_label(label, labels).cast("double").alias(_LABEL),
-        )
-        .filter(F.col(_LABEL) >= 0)
-    )
-    stages = [
-        RegexTokenizer(inputCol=_TEXT, outputCol="_tokens", pattern=r"\s+", toLowercase=True),
-        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_weights"),
-        LogisticRegression(
-            featuresCol="_weights",
-            labelCol=_LABEL,
-            predictionCol="_class",
-            probabilityCol="_probability",
-            rawPredictionCol="_raw",
-            family="multinomial",
-            maxIter=iterations,
-            regParam=regularization,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(rows)
+    """Fit a classifier whose class i is ``labels[i]``; rows with other labels are left out.
+
+    The term counts are written once, because fitting reads them again and again.
+    """
+    rows = df.select(
+        F.coalesce(text, F.lit("")).alias(_TEXT),
+        encode_label(label, labels).cast("double").alias(_LABEL),
+    ).filter(F.col(_LABEL) >= 0)
+    tokenizer = RegexTokenizer(inputCol=_TEXT, outputCol="_tokens", pattern=r"\s+")
+    hashing = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features)
+    counted = hashing.transform(tokenizer.transform(rows)).select(_LABEL, "_tf")
+    counted = materialize(counted, "term-counts")
+    weights = IDF(inputCol="_tf", outputCol="_weights").fit(counted)
+    classes = LogisticRegression(
+        featuresCol="_weights",
+        labelCol=_LABEL,
+        predictionCol="_class",
+        probabilityCol="_probability",
+        rawPredictionCol="_raw",
+        family="multinomial",
+        maxIter=iterations,
+        tol=1e-4,
+        regParam=regularization,
+    ).fit(weights.transform(counted))
+    return PipelineModel(stages=[tokenizer, hashing, weights, classes])
 
 
 def save_model(model: PipelineModel, path: str) -> str:

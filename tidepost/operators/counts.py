@@ -146,20 +146,34 @@ def median_by(df: DataFrame, key: str, metrics: Sequence[str], approx: bool = Fa
         .agg(F.sum("_n").alias("_n"), F.first("_total").alias("_total"))
     )
     in_order = Window.partitionBy(key, "metric").orderBy(F.col("_value").asc_nulls_first())
-    return _median_of_counts(
-        near.withColumn("_upto", F.sum("_n").over(in_order)), [key, "metric"], "_value", "_total"
-    )
+    ranked = near.withColumn("_upto", F.sum("_n").over(in_order))
+    return ranked.groupBy(key, "metric").agg(median_of_counts("_value").alias("median"))
 
 
-def _median_of_counts(df: DataFrame, keys: Sequence[str], value: str, total: str) -> DataFrame:
-    """Median from values with running counts ``_upto``; a null value stands for all smaller ones."""
+def median_of_counts(value: str) -> Column:
+    """Median over rows that hold a value, the running count ``_upto`` and the number ``_total``."""
+    lower = F.floor((F.col("_total") + 1) / 2)
+    upper = F.floor(F.col("_total") / 2) + 1
 
     def at(rank: Column) -> Column:
         return F.min_by(F.col(value), F.when(F.col("_upto") >= rank, F.col("_upto")))
 
-    lower = F.floor((F.col(total) + 1) / 2)
-    upper = F.floor(F.col(total) / 2) + 1
-    return df.groupBy(*keys).agg(((at(lower) + at(upper)) / 2).alias("median"))
+    return (at(lower) + at(upper)) / 2
+
+
+def with_running_total(hist: DataFrame, value: str, weight: str) -> DataFrame:
+    """Add ``_upto`` and ``_total`` to a table of values and how often each occurs.
+
+    For tables that are small by nature, such as counts per key or words per text. Rows without a
+    weight get no running count and so stay out of a median.
+    """
+    upto = F.sum(weight).over(Window.orderBy(value))
+    return hist.withColumns(
+        {
+            "_upto": F.when(F.col(weight).isNotNull(), upto),
+            "_total": F.sum(weight).over(Window.partitionBy()),
+        }
+    )
 
 
 def count_histogram(per_key: DataFrame, count: str, flag: str | None = None) -> DataFrame:
@@ -170,14 +184,3 @@ def count_histogram(per_key: DataFrame, count: str, flag: str | None = None) ->
     """
     keys = [count] if flag is None else [count, flag]
     return per_key.groupBy(*keys).agg(F.count(F.lit(1)).alias("keys"))
-
-
-def median_from_histogram(hist: DataFrame, value: str, weight: str) -> DataFrame:
-    """Exact median as one row, from a table of values and how often each occurs.
-
-    For tables that are small by nature: counts per key, words per text.
-    """
-    upto = F.sum(weight).over(Window.orderBy(value))
-    total = F.sum(weight).over(Window.partitionBy())
-    ranked = hist.filter(F.col(value).isNotNull()).withColumns({"_upto": upto, "_total": total})
-    return _median_of_counts(ranked, [], value, "_total")

@@ -20,8 +20,13 @@ from tidepost.functions.text import (
     tokenize,
     word_count,
 )
-from tidepost.operators.counts import count_histogram, distribution, median_from_histogram
-from tidepost.operators.shape import rows_of
+from tidepost.operators.counts import (
+    count_histogram,
+    distribution,
+    median_of_counts,
+    with_running_total,
+)
+from tidepost.operators.shape import compute_once, rows_of
 
 
 def _rows() -> Column:
@@ -77,8 +82,8 @@ def _posts_per_user(df: DataFrame, user: str) -> DataFrame:
 def user_activity(df: DataFrame, user: str) -> DataFrame:
     """One row: posts, users, mean, median and maximum per user, users above 50 and 100 posts."""
     hist = _posts_per_user(df, user)
-    known = hist.filter("known")
-    return hist.agg(
+    hist = hist.withColumn("_users", F.when(F.col("known"), F.col("keys")))
+    return with_running_total(hist, "posts", "_users").agg(
         F.sum(F.col("posts") * F.col("keys")).alias("posts"),
         F.coalesce(F.sum(F.when(F.col("known"), F.col("keys"))), F.lit(0)).alias("users"),
         F.max(F.when(F.col("known"), F.col("posts"))).alias("max_posts"),
@@ -88,12 +93,8 @@ def user_activity(df: DataFrame, user: str) -> DataFrame:
             ).alias(f"users_over_{n}")
             for n in (50, 100)
         ],
-    ).withColumns(
-        {
-            "mean_posts": F.when(F.col("users") > 0, F.col("posts") / F.col("users")),
-            "median_posts": median_from_histogram(known, "posts", "keys").scalar(),
-        }
-    )
+        median_of_counts("posts").alias("median_posts"),
+    ).withColumn("mean_posts", F.when(F.col("users") > 0, F.col("posts") / F.col("users")))
 
 
 def top_share(df: DataFrame, user: str, fraction: float = 0.01) -> DataFrame:
@@ -374,7 +375,8 @@ def interaction_distribution(df: DataFrame) -> DataFrame:
 
 
 def _long_texts(df: DataFrame, text: str, author: str, min_words: int) -> DataFrame:
-    norm = df.select(normalize_for_dup(text).alias("norm_text"), F.col(author).alias("author"))
+    rows = df.select(F.col(text).alias("text"), F.col(author).alias("author"))
+    norm = compute_once(rows, norm_text=normalize_for_dup("text")).drop("text")
     return norm.filter(word_count("norm_text") >= min_words)
 
 
@@ -413,9 +415,10 @@ def repeated_totals(
     df: DataFrame, text: str, author: str, min_words: int = fixed.MIN_REPEATED_WORDS
 ) -> DataFrame:
     """One row: all posts, long posts, repeated texts, posts in them and their percentage of all."""
-    norm = normalize_for_dup(text)
+    norm = compute_once(df.select(F.col(text).alias("text")), norm_text=normalize_for_dup("text"))
+    norm_text = F.col("norm_text")
     sizes = (
-        df.select(F.when(word_count(norm) >= min_words, norm).alias("norm_text"))
+        norm.select(F.when(word_count(norm_text) >= min_words, norm_text).alias("norm_text"))
         .groupBy("norm_text")
         .agg(_rows().alias("copies"))
     )
@@ -437,19 +440,25 @@ def text_statistics(df: DataFrame, text: str, short: int = fixed.MIN_TOKENS) ->
     sizes = df.groupBy(word_count(text).alias("words")).agg(
         _rows().alias("texts"), F.sum(text_length(text).cast("bigint")).alias("chars")
     )
-    return sizes.agg(
+    return with_running_total(sizes, "words", "texts").agg(
         F.sum("texts").alias("texts"),
         (F.sum("chars") / F.sum("texts")).alias("mean_length"),
         F.coalesce(F.sum(F.when(F.col("words") < short, F.col("texts"))), F.lit(0)).alias(
             "short_texts"
         ),
-    ).withColumn("median_words", median_from_histogram(sizes, "words", "texts").scalar())
+        median_of_counts("words").alias("median_words"),
+    )
+
+
+def _terms(df: DataFrame, text: str, stopwords: Sequence[str]) -> DataFrame:
+    """One row per term. The outer form keeps Spark from tokenising twice to skip empty texts."""
+    terms = df.select(F.explode_outer(tokenize(text, stopwords)).alias("term"))
+    return terms.filter(F.col("term").isNotNull())
 
 
 def term_counts(df: DataFrame, text: str, stopwords: Sequence[str] = ()) -> DataFrame:
     """How often each term occurs."""
-    terms = df.select(F.explode(tokenize(text, stopwords)).alias("term"))
-    return terms.groupBy("term").agg(_rows().alias("n"))
+    return _terms(df, text, stopwords).groupBy("term").agg(_rows().alias("n"))
 
 
 def term_total(df: DataFrame, text: str, stopwords: Sequence[str] = ()) -> DataFrame:
@@ -475,32 +484,33 @@ def term_lift(
 ) -> DataFrame:
     """Most frequent terms of the target with their rate per 1,000 terms against the baseline.
 
-    A term that the baseline lacks is new and has infinite lift. Of the baseline only the top
-    terms are counted: at most ``top`` rows are broadcast to filter it before its aggregation.
+    A term that the baseline lacks is new and has infinite lift. Each text is tokenised once: the
+    baseline is counted by top term, all its other terms together, against a broadcast of at most
+    ``top`` rows, and its total is the sum of those counts.
     """
-    best = (
-        term_counts(target, text, stopwords)
-        .orderBy(F.desc("n"), "term")
-        .limit(top)
-        .filter(F.col("n") >= min_count)
-    )
+    counts = term_counts(target, text, stopwords)
+    best = counts.orderBy(F.desc("n"), "term").limit(top).filter(F.col("n") >= min_count)
+    listed = best.select("term", F.col("term").alias("_listed"))
     base = (
-        baseline.select(F.explode(tokenize(text, stopwords)).alias("term"))
-        .join(F.broadcast(best.select("term")), "term", "left_semi")
-        .groupBy("term")
+        _terms(baseline, text, stopwords)
+        .join(F.broadcast(listed), "term", "left")
+        .groupBy("_listed")
         .agg(_rows().alias("base_n"))
+        .withColumn("_base_total", F.sum("base_n").over(Window.partitionBy()))
     )
-    total = term_total(target, text, stopwords).scalar()
-    base_total = term_total(baseline, text, stopwords).scalar()
+    whole = base.agg(F.max("_base_total")).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     rate, base_rate = F.col("rate"), F.col("base_rate")
+    base_n = F.coalesce("base_n", F.lit(0))
     return (
-        best.join(F.broadcast(base), "term", "left")  # at most ``top`` rows
+        best.join(F.broadcast(base), F.col("term") == F.col("_listed"), "left")
+        .withColumn("_whole", F.coalesce("_base_total", whole, F.lit(0)))
         .select(
             "term",
             "n",
-            F.coalesce("base_n", F.lit(0)).alias("base_n"),
+            base_n.alias("base_n"),
             (F.col("n") / total * 1000).alias("rate"),
-            F.when(base_total > 0, F.coalesce("base_n", F.lit(0)) / base_total * 1000)
+            F.when(F.col("_whole") > 0, base_n / F.col("_whole") * 1000)
             .otherwise(0.0)
             .alias("base_rate"),
         )

@@ -66,7 +66,7 @@ def normalize_tokens_join(
     """
     forms = lookup.select(F.col(token).alias("_token"), F.col(form).alias("_form"))
     hits = (
-        df.select(key, F.explode(F.array_distinct(F.split(text, " "))).alias("_token"))
+        df.select(key, F.explode_outer(F.array_distinct(F.split(text, " "))).alias("_token"))
         .filter(F.col("_token") != "")
         .join(forms, "_token")
         .groupBy(key)

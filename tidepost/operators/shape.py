@@ -65,6 +65,17 @@ def with_constants(df: DataFrame, **values) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in values.items()})
 
 
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns whose expressions are evaluated once per row, whatever reads them.
+
+    A plain projection is merged into the filters above it, so that an expensive expression would
+    run again for every test on its result; a generator in between keeps them apart.
+    """
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline_outer(F.array(row)))
+
+
 def rows_of(one_row: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
     """Turn the columns of a one-row frame into several rows."""
     structs = [F.struct(*[c.alias(n) for n, c in row.items()]) for row in rows]

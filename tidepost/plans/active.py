@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidepost.operators.ranking import most_uncertain, top_n
 from tidepost.operators.shape import align, drop_present, union_all
+from tidepost.session import materialize
 
 
 def select_candidates(
@@ -18,13 +19,18 @@ def select_candidates(
     ties: Sequence[str | Column],
     source: str = "al_prediction",
     strict: bool = False,
+    written: bool = False,
 ) -> DataFrame:
     """The least certain rows of a scored pool that fill the labelled rows up to ``target``.
 
     None are needed when the baseline is large enough. An empty pool is an error, and with
     ``strict`` also one that is too small. The prediction becomes a weak label to be reviewed.
+    The ranking reads the scores more than once, so they are written first unless ``written``
+    says that the pool is a table already.
     """
     needed = max(0, target - labelled_rows)
+    if needed and not written:
+        scored = materialize(scored, "scored-pool")
     if needed and scored.isEmpty():
         raise ValueError("the pool is empty")
     if strict:

@@ -11,7 +11,7 @@ from tidepost import fixed
 from tidepost.functions.columns import to_bool
 from tidepost.functions.text import clean_text, contains_any, contains_word, token_count
 from tidepost.operators.dedup import dedup
-from tidepost.operators.shape import first_available, require
+from tidepost.operators.shape import compute_once, first_available, require
 
 
 def keyword_filter(df: DataFrame, column: str, keywords: Sequence[str]) -> DataFrame:
@@ -56,17 +56,16 @@ def clean_posts(
     order: Sequence[str] | None = None,
     least: int = fixed.MIN_TOKENS,
 ) -> DataFrame:
-    """Dedup, relevance filter, cleaning, short-text filter, flags, ingestion time.
+    """Relevance filter, dedup, cleaning, short-text filter, flags, ingestion time.
 
-    Duplicates are dropped on the first of ``keys`` that the frame has, and the survivor is the
-    first in ``order`` (all columns if not given). Only then the filter is applied, because a
-    dropped copy may differ from the kept one in its text.
+    Duplicates are dropped on the first of ``keys`` that the frame has. The survivor is the first
+    relevant copy in ``order`` (all columns if not given), so irrelevant rows are filtered out
+    before the shuffle. Texts are cleaned once, after it.
     """
     require(raw, ["text"], "raw posts")
     key = first_available(raw, keys)
-    kept = dedup(raw, [key], list(order) if order else [c for c in raw.columns if c != key] or [key])
-    cleaned = keyword_filter(kept, "text", keywords).withColumn(
-        "text_clean", clean_text("text", lookup)
-    )
+    relevant = keyword_filter(raw, "text", keywords)
+    kept = dedup(relevant, [key], list(order) if order else raw.columns)
+    cleaned = compute_once(kept, text_clean=clean_text("text", lookup))
     cleaned = min_tokens(cleaned, "text_clean", least)
     return with_ingestion_time(with_flags(cleaned, flags or {}))

@@ -61,9 +61,21 @@ def load_lookup(path: str) -> dict[str, str]:
         return json.load(file)
 
 
-def read_stage(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_stage(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, spread: bool = False
+) -> DataFrame:
+    """Read a stage table.
+
+    ``spread`` is for small tables that costly expressions follow: a file with one row group is
+    read by one task however it is split, so a scan with no more splits than cores is spread over
+    the cores. Larger tables are left as they are.
+    """
     df = spark.read.parquet(path)
-    return df if columns is None else df.select(*columns)
+    df = df if columns is None else df.select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and df.rdd.getNumPartitions() <= cores:
+        df = df.repartition(cores)
+    return df
 
 
 def write_stage(df: DataFrame, path: str, partitions: int | None = None) -> int:
