@@ -196,7 +196,7 @@ def flagship(posts):
     relevant = keyword_filter(posts, "text", KEYWORDS)
     cleaned = compute_once(relevant, text_clean=t.clean_text("text", LOOKUP))
     kept = dedup(min_tokens(cleaned, "text_clean"), ["text_clean"], ["id"])
-    return distribution(kept, ["lang", "source_file"], share=True)
+    return distribution(kept, ["lang", "source_file"], share=True, few_values=True)
 
 
 @query(

@@ -33,16 +33,25 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def distribution(
-    df: DataFrame, columns: Sequence[str], n: int | None = None, share: bool = False
+    df: DataFrame,
+    columns: Sequence[str],
+    n: int | None = None,
+    share: bool = False,
+    few_values: bool = False,
 ) -> DataFrame:
     """Rows per value, most frequent first; optionally the top ``n`` and the percentage.
 
-    The total is a scalar subquery over the counts, because the number of values is not bounded.
+    The total is a scalar subquery over the counts, because the number of values is not bounded;
+    it may read the input again. For columns known to have few values (labels, languages, sources)
+    ``few_values`` adds up the count rows in one window instead.
     """
     counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("count"))
     result = counts
     if share:
-        total = counts.agg(F.sum("count")).scalar()
+        if few_values:
+            total = F.sum("count").over(Window.partitionBy())
+        else:
+            total = counts.agg(F.sum("count")).scalar()
         result = counts.withColumn("percent", F.col("count") / total * 100)
     result = result.orderBy(F.desc("count"), *columns)
     return result if n is None else result.limit(n)

@@ -545,7 +545,8 @@ def findings(
         F.timestamp_diff("DAY", F.min(ts), F.max(ts)).alias("days"),
         *[F.count_if(F.col(c)).alias(f"_{k}") for k, c in _KINDS.items()],
     )
-    languages = distribution(df.filter(F.col(lang).isNotNull()), [lang], share=True).limit(1)
+    known = df.filter(F.col(lang).isNotNull())
+    languages = distribution(known, [lang], share=True, few_values=True).limit(1)
     return base.withColumns(
         {
             "_users": struct_of(user_activity(df, user).select("users", "users_over_100")),

@@ -183,7 +183,7 @@ def high_uncertainty(
 
 
 def label_source_share(df: DataFrame, source: str) -> DataFrame:
-    return distribution(df, [source], share=True)
+    return distribution(df, [source], share=True, few_values=True)
 
 
 def irony_changes(df: DataFrame, before: str, after: str, matched: str) -> DataFrame:

@@ -114,7 +114,8 @@ def load_table(
 
 
 def export_csv(df: DataFrame, path: str) -> str:
-    """Write a CSV folder with a header; white space and empty strings survive a round trip."""
+    """Write a CSV folder with a header. White space and line breaks survive a round trip; an empty
+    string is read back as null."""
     df.write.mode("overwrite").options(
         header=True,
         escape='"',
