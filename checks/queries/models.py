@@ -51,19 +51,18 @@ def l4(v):
     return _checked(with_uncertainty(score(posts, model, "text_clean", PROBS), PROBS, LABELS), PROBS)
 
 
-def _load_toy_model():
-    """Stand-in for a Python model: logits from a checksum of the text."""
-
-    def predict(texts):
-        sums = np.array([zlib.crc32(t.encode("utf-8")) % 1000 for t in texts], dtype=float)
-        return np.stack([sums / 1000, 1 - sums / 1000, np.full(len(texts), 0.5)], axis=1)
+@query("l4_score_with_python", _SCORED_SQL, "posts")
+def l4_python(v):
+    def load():
+        """Stand-in for a Python model: logits from a checksum of the text."""
 
-    return predict
+        def predict(texts):
+            sums = np.array([zlib.crc32(t.encode("utf-8")) % 1000 for t in texts], dtype=float)
+            return np.stack([sums / 1000, 1 - sums / 1000, np.full(len(texts), 0.5)], axis=1)
 
+        return predict
 
-@query("l4_score_with_python", _SCORED_SQL, "posts")
-def l4_python(v):
-    scored = score_with_python(v.posts, _load_toy_model, "text", PROBS)
+    scored = score_with_python(v.posts, load, "text", PROBS)
     return _checked(with_uncertainty(scored, PROBS, LABELS), PROBS)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.views import LOOKUP
 from tidepost.functions import text as t
+from tidepost.operators import lookup as lookup_module
 from tidepost.operators.lookup import normalize_tokens_join
 
 
@@ -82,7 +83,7 @@ def test_fused_pattern_equals_single_steps(column):
     assert column(texts, steps) == column(texts, t.clean_text("x"))
 
 
-def test_dictionary_of_many_entries_and_join_form(spark, column):
+def test_dictionary_of_many_entries_and_join_form(spark, column, monkeypatch):
     lookup = {f"w{i}": f"v{i}" if i % 7 else "" for i in range(500)}
     rng = random.Random(3)
     texts = [" ".join(f"w{rng.randrange(700)}" for _ in range(20)) for _ in range(200)] + ["", "w0"]
@@ -90,8 +91,10 @@ def test_dictionary_of_many_entries_and_join_form(spark, column):
     assert column(texts, t.normalize_tokens("x", lookup)) == wanted
     df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
     table = spark.createDataFrame(list(lookup.items()), "token string, form string")
-    joined = normalize_tokens_join(df, "i", "x", table).orderBy("i").collect()
-    assert [r["x"] for r in joined] == wanted
+    for limit in (lookup_module.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(lookup_module, "BROADCAST_BYTES", limit)
+        joined = normalize_tokens_join(df, "i", "x", table).orderBy("i").collect()
+        assert [r["x"] for r in joined] == wanted
 
 
 def test_light_and_duplicate_forms(column):

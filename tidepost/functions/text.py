@@ -7,6 +7,7 @@ no-break space is white space, as in Python's ``re``.
 from __future__ import annotations
 
 import functools
+import json
 import operator
 import re
 import zlib
@@ -61,10 +62,10 @@ def squeeze(c: Column | str) -> Column:
 def normalize_tokens(c: Column | str, lookup: Mapping[str, str] | None) -> Column:
     """Replace whole blank-separated tokens by their dictionary form, in one pass.
 
-    A replacement is not looked up again and may be empty. The dictionary is part of the
-    expression: entries are spread over buckets by ``crc32`` because a Spark map is searched
-    from front to back. Use ``operators.lookup.normalize_tokens_join`` for one that is too
-    large for an expression.
+    A replacement is not looked up again and may be empty. The dictionary becomes one constant of
+    the plan: entries are spread over as many small maps by ``crc32``, because a Spark map is
+    searched from front to back. Use ``operators.lookup.normalize_tokens_join`` for a dictionary
+    that is too large for a plan.
     """
     c = _col(c)
     entries = {k: v for k, v in (lookup or {}).items() if k}
@@ -74,7 +75,7 @@ def normalize_tokens(c: Column | str, lookup: Mapping[str, str] | None) -> Colum
     buckets: list[dict[str, str]] = [{} for _ in range(n_buckets)]
     for token, form in entries.items():
         buckets[zlib.crc32(token.encode("utf-8")) % n_buckets][token] = form
-    table = F.array(*[_string_map(bucket) for bucket in buckets])
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
 
     def form_of(token: Column) -> Column:
         slot = (F.crc32(token) % n_buckets + 1).cast("int")
@@ -83,13 +84,6 @@ def normalize_tokens(c: Column | str, lookup: Mapping[str, str] | None) -> Colum
     return strip(F.array_join(F.transform(F.split(c, " "), form_of), " "))
 
 
-def _string_map(entries: Mapping[str, str]) -> Column:
-    def strings(values):
-        return F.array(*[F.lit(v) for v in values]).cast("array<string>")
-
-    return F.map_from_arrays(strings(entries.keys()), strings(entries.values()))
-
-
 def clean_text(c: Column | str, lookup: Mapping[str, str] | None = None) -> Column:
     """Full cleaning: URL, mention, hashtag, symbols, white space, lower case, dictionary.
 

@@ -16,6 +16,16 @@ from pyspark.sql import functions as F
 from tidepost.functions.text import strip
 
 
+# Largest table of strings that is broadcast on purpose, by its measured content.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def measured_bytes(strings: DataFrame) -> int:
+    """Bytes in the string columns of a table, plus a fixed amount per row."""
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in strings.columns), F.lit(64))
+    return strings.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
+
+
 def _spread(left: DataFrame, right: DataFrame, salts: int) -> tuple[DataFrame, DataFrame, list[str]]:
     if salts <= 1:
         return left, right, []
@@ -62,9 +72,15 @@ def normalize_tokens_join(
     """Dictionary replacement as a join, for a dictionary too large for an expression.
 
     ``key`` must identify rows. Only the distinct tokens that occur in the dictionary are
-    shuffled; the texts are rebuilt from a small map per row.
+    shuffled; the texts are rebuilt from a small map per row. The dictionary is broadcast if its
+    measured size allows it, else merged in; Spark is not left to guess, because it takes the
+    exploded tokens for as small as the texts they come from.
     """
     forms = lookup.select(F.col(token).alias("_token"), F.col(form).alias("_form"))
+    if measured_bytes(forms) <= BROADCAST_BYTES:
+        forms = F.broadcast(forms)
+    else:
+        forms = forms.hint("merge")
     hits = (
         df.select(key, F.explode_outer(F.array_distinct(F.split(text, " "))).alias("_token"))
         .filter(F.col("_token") != "")
