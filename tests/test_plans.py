@@ -11,6 +11,7 @@ from tests.conftest import plan_of
 from tidepost.functions.columns import in_dates
 from tidepost.functions.text import clean_text
 from tidepost.operators.dedup import dedup
+from tidepost.operators.lookup import attach_predictions, exclude_matches
 from tidepost.operators.shape import compute_once
 from tidepost.sources.files import load_results
 
@@ -77,6 +78,50 @@ def test_posts_scan_reads_only_what_is_used(spark):
     assert "ReadSchema: struct<event_id:bigint>" in plan
 
 
+@pytest.fixture
+def merge_joins(spark):
+    """No broadcasts, and a skew threshold that small test data can reach."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("kind", ["anti", "left"])
+def test_adaptive_execution_splits_a_hot_key(spark, merge_joins, kind):
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000)
+    left = spark.range(60_000).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("t"))
+    left = left.repartition(8)
+    right = spark.range(100, 5000).select(F.col("id").alias("k"), F.rand(1).alias("c"))
+    joined = (
+        exclude_matches(left, right, "k") if kind == "anti"
+        else attach_predictions(left, right, "k", ["c"])
+    )
+    rows = joined.collect()
+    assert "SortMergeJoin(skew=true)" in plan_of(joined)
+    assert len(rows) == (60_000 if kind == "left" else 20_000 + 40_000 * 100 // 5000)
+
+
+def test_rows_without_a_key_are_spread(spark, merge_joins):
+    no_key = F.when(F.col("id") < 0, "k").alias("k")
+    left = spark.range(20_000).select(no_key, "id").repartition(4)
+    right = spark.range(10).select(F.col("id").cast("string").alias("k"))
+    rest = exclude_matches(left, right, "k")
+    sizes = rest.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 16 and max(r["count"] for r in sizes) < 2_500
+
+
 def test_user_statistics_aggregate_before_any_window(spark):
     plan = before_running(QUERIES["a17_top_share"](spark, FOLDER))
     assert plan.index("Window") < plan.index("hashpartitioning(posts")

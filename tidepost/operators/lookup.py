@@ -1,9 +1,12 @@
 """Equi joins against keyed tables.
 
-No side is forced to be broadcast: Catalyst does that below its size threshold, and adaptive
-execution with measured sizes. Beyond it the joins here are sort-merge joins whose left side
-adaptive execution splits when one key (or null) is hot; ``salts`` spreads the left rows
-by hand where adaptive execution is off, at the price of repeating the right side.
+No side of the keyed joins is forced to be broadcast: Catalyst does that below its size threshold,
+and adaptive execution with measured sizes. Beyond it they are sort-merge joins that stand a hot
+key. Besides the key they compare its hash, which on the left is a hash of the whole row where the
+key is null: rows without a key are spread over all partitions, and because the second column is
+not part of an earlier grouping, both inputs get shuffles of their own, which adaptive execution
+needs to split a skewed partition. ``salts`` spreads the left rows by hand where adaptive
+execution is off, at the price of repeating the right side.
 """
 
 from __future__ import annotations
@@ -26,12 +29,18 @@ def measured_bytes(strings: DataFrame) -> int:
     return strings.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
 
 
-def _spread(left: DataFrame, right: DataFrame, salts: int) -> tuple[DataFrame, DataFrame, list[str]]:
+def _spread(
+    left: DataFrame, right: DataFrame, on: str, salts: int
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with the additional join columns, and all join columns."""
+    row = left.columns
+    left = left.withColumn("_hash", F.when(F.col(on).isNull(), F.hash(*row)).otherwise(F.hash(on)))
+    right = right.withColumn("_hash", F.hash(on))
     if salts <= 1:
-        return left, right, []
-    left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+        return left, right, [on, "_hash"]
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(*row), F.lit(salts)).cast("int"))
     right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left, right, ["_salt"]
+    return left, right, [on, "_hash", "_salt"]
 
 
 def exclude_matches(
@@ -40,8 +49,8 @@ def exclude_matches(
     """Rows whose ``on`` value does not occur in ``known``; null never matches, so it stays."""
     source = known_column or on
     keys = known.select(F.col(source).alias(on)).filter(F.col(on).isNotNull()).distinct()
-    left, right, extra = _spread(df, keys, salts)
-    return left.join(right, [on, *extra], "left_anti").select(*df.columns)
+    left, right, columns = _spread(df, keys, on, salts)
+    return left.join(right, columns, "left_anti").select(*df.columns)
 
 
 def attach_predictions(
@@ -62,8 +71,8 @@ def attach_predictions(
         .agg(F.max(F.struct(*best)).alias("_best"))
         .select(on, *[F.col(f"_best.{c}").alias(c) for c in best])
     )
-    left, right, extra = _spread(df, one, salts)
-    return left.join(right, [on, *extra], "left").select(*df.columns, *best)
+    left, right, columns = _spread(df, one, on, salts)
+    return left.join(right, columns, "left").select(*df.columns, *best)
 
 
 def normalize_tokens_join(
@@ -71,7 +80,7 @@ def normalize_tokens_join(
 ) -> DataFrame:
     """Dictionary replacement as a join, for a dictionary too large for an expression.
 
-    ``key`` must identify rows. Only the distinct tokens that occur in the dictionary are
+    ``key`` must identify rows and ``token`` dictionary entries. Only the distinct tokens that occur in the dictionary are
     shuffled; the texts are rebuilt from a small map per row. The dictionary is broadcast if its
     measured size allows it, else merged in; Spark is not left to guess, because it takes the
     exploded tokens for as small as the texts they come from.

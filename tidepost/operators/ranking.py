@@ -11,7 +11,7 @@ from tidepost import fixed
 from tidepost.session import materialize
 
 # Largest n that goes through Spark's top-k operator, which gathers n rows of every task.
-TOP_K_ROWS = 10_000
+TOP_K_ROWS = 1_000
 
 _POSITION_BITS = 33
 
@@ -25,10 +25,8 @@ def number_rows(
     holds its partition and its position there. The placed rows are written once, so that the
     partition sizes (one row per partition, hence small) belong to the same placement.
     """
-    spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = (
-        df.repartitionByRange(partitions, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
