@@ -224,3 +224,56 @@ def test_merge(frame):
     assert not by_text["e"]["irony_matched"]
     with pytest.raises(ValueError, match="sarcasm_confidence"):
         merge.merge_predictions(scored, irony.drop("sarcasm_confidence"), ["positive"], "negative")
+
+
+def test_from_raw_files_to_the_result_table(spark, tmp_path):
+    """All jobs in a row, handing over through written tables."""
+    path = lambda name: str(tmp_path / name)
+    kinds = [GOOD, BAD]
+    rows = [(str(i), f"https://x.com/u{i % 9}/status/{i}", f"Rain {kinds[i % 2]} no{i} @a #tag{i}",
+             str(i % 50), "TRUE" if i % 4 == 0 else "") for i in range(150)]
+    raw = spark.createDataFrame(rows, "id string, url string, text string, likeCount string, "
+                                      "isReply string")
+    again = raw.filter("cast(id as int) < 30").drop("likeCount")
+    sources = [files.export_csv(raw, path("a")), files.export_csv(again, path("b"))]
+    read = files.read_posts_csv(spark, sources)
+    cleaned = ingest.clean_posts(read, ["rain"], {"no5": "five"}, {"isReply": "is_reply"},
+                                 order=[F.col("likeCount").asc_nulls_last(), "source_file"])
+    assert files.write_stage(cleaned, path("cleaned")) == 150
+    cleaned = files.read_stage(spark, path("cleaned"))
+    assert cleaned.filter("likeCount is null").count() == 0
+
+    labels = [(r[0], r[1], r[2], "Positive" if int(r[0]) % 2 == 0 else "negative")
+              for r in rows[:60]]
+    marked = spark.createDataFrame(labels, "id string, url string, text string, sentiment string")
+    marked = files.read_labelled_csv(spark, [files.export_csv(marked, path("labelled"))])
+    baseline = labelling.labelled_baseline(marked, LABELS, ["id"])
+    pool = labelling.unlabelled_pool(cleaned, baseline, ["id"])
+    assert pool.count() == 90
+    train, _ = split_by_hash(baseline, "id")
+    model = classify.train_text_classifier(train, "text_clean", "sentiment", LABELS, 1024)
+    scored = classify.with_uncertainty(
+        classify.score(pool, model, "text_clean", PROBS), PROBS, LABELS
+    )
+    chosen = active.select_candidates(scored, baseline.count(), 100, ["id"])
+    whole = active.assemble(active.baseline_as_scored(baseline, LABELS, PROBS), chosen)
+    assert files.write_stage(whole, path("learning")) == 100
+    whole = files.read_stage(spark, path("learning"))
+
+    irony = classify.irony_predictions(
+        whole.select("id", F.when(F.col("id") == "2", 0.1).otherwise(0.9).alias("p0")).withColumn(
+            "p1", 1 - F.col("p0")
+        ),
+        "id",
+        ["p0", "p1"],
+    )
+    final = merge.merge_predictions(whole, irony, ["positive", "neutral"], "negative")
+    assert export.export_results(final, path("results"), "parquet", path("csv")) == 100
+    results = spark.read.parquet(path("results"))
+    by_id = {r["tweet_id"]: r for r in results.collect()}
+    assert by_id["2"]["sentiment_label"] == "positive"
+    assert by_id["2"]["final_sentiment"] == "negative"
+    wrong = [i for i, r in by_id.items()
+             if r["sentiment_label"] != ("positive" if int(i) % 2 == 0 else "negative")]
+    assert not wrong
+    assert files.read_posts_csv(spark, [path("csv")]).count() == 100
