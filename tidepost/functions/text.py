@@ -88,10 +88,12 @@ def clean_text(c: Column | str, lookup: Mapping[str, str] | None = None) -> Colu
     """Full cleaning: URL, mention, hashtag, symbols, white space, lower case, dictionary.
 
     Null text gives ''. Replacing symbols by blanks and collapsing the blanks is one pattern
-    here: a run without word characters or kept punctuation becomes one blank.
+    here: a run without word characters or kept punctuation becomes one blank. Texts without the
+    signs of a URL, mention or hashtag skip those three patterns.
     """
     c = F.coalesce(_col(c), F.lit(""))
-    c = unwrap_hashtags(replace_mentions(replace_urls(c)))
+    marked = c.contains("://") | c.contains("@") | c.contains("#")
+    c = F.when(marked, unwrap_hashtags(replace_mentions(replace_urls(c)))).otherwise(c)
     c = F.lower(F.trim(F.regexp_replace(c, _SYMBOL_RUN, " ")))
     return normalize_tokens(c, lookup)
 
