@@ -461,11 +461,6 @@ def term_counts(df: DataFrame, text: str, stopwords: Sequence[str] = ()) -> Data
     return _terms(df, text, stopwords).groupBy("term").agg(_rows().alias("n"))
 
 
-def term_total(df: DataFrame, text: str, stopwords: Sequence[str] = ()) -> DataFrame:
-    """One row: number of terms; nothing is exploded for it."""
-    return df.agg(F.sum(F.size(tokenize(text, stopwords)).cast("bigint")).alias("terms"))
-
-
 def term_baseline(
     counts: DataFrame, baseline: DataFrame, text: str, stopwords: Sequence[str] = ()
 ) -> DataFrame:
