@@ -1,9 +1,10 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
 Every document of a source has the same expected number of copies. Its whole part is certain; the
-fractions are rounded in pairs, each time moving mass from one document to the other until one of
-them is 0 or 1, so that a source's copies add up as expected. Documents of similar size are paired
-first and what is left of a group goes up a tree. Everything is DataFrame expressions.
+fractions are rounded in pairs. Each time expected words move from one document to the other, in a
+random direction that keeps every expectation, until one of the fractions is 0 or 1; so a source's
+words stay at their target, but for the last document. Documents of similar size are paired first
+and what is left of a group goes up a tree. Everything is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def word_count(text: Column) -> Column:
 def source_targets(
     sizes: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS
 ) -> DataFrame:
-    """Targets per source from ``source_key, source, source_size``.
+    """Targets per source from ``source_key, source, source_size, rows``.
 
     The budget is ``share`` of all sizes, split by weight. A target stops at ``most`` times its
     source's size; the excess goes to the others by weight until none is above. In the order of
@@ -64,7 +65,7 @@ def source_targets(
         placed.withColumn("budget", budget)
         .withColumn("stops", stops)
         .withColumn("target", target)
-        .select("source_key", "source_size", "target")
+        .select("source_key", "source_size", "target", "rows")
     )
 
 
@@ -73,7 +74,10 @@ def _uniform(*columns: Column) -> Column:
 
 
 def round_group(units: Column, seed: int) -> Column:
-    """Pivotal rounding along an array of units: ``rest`` (the unit left over) and ``done``."""
+    """Pivotal rounding along an array of units: ``rest`` (the unit left over) and ``done``.
+
+    A unit without words moves nothing; it is settled as it comes.
+    """
 
     def unit(u, p):
         return F.struct(u.size, u.h, u.doc_id, u.key, p.alias("p")).cast(_UNIT)
@@ -82,18 +86,24 @@ def round_group(units: Column, seed: int) -> Column:
         return F.struct(u.size, u.h, u.doc_id, u.key, up.cast("int").alias("up"))
 
     def step(s, x):
-        a, b = s.rest.p, x.p
-        both = a + b
-        u = _uniform(F.lit(seed), s.rest.h, x.h)
-        low = both < 1.0
-        # below 1 one of the two gets all of the mass; from 1 on one of them becomes 1
-        x_goes_on = F.when(low, u * both < b).otherwise(u * (2.0 - both) < (1.0 - a))
-        p = F.when(low, both).otherwise(F.greatest(both - 1.0, F.lit(0.0)))
-        up = F.when(low, F.lit(0)).otherwise(F.lit(1))
-        winner = F.when(x_goes_on, unit(x, p)).otherwise(unit(s.rest, p))
-        loser = F.when(x_goes_on, settled(s.rest, up)).otherwise(settled(x, up))
+        a, b = s.rest, x
+        u = _uniform(F.lit(seed), a.h, b.h)
+        # words that can move to a or away from a before one of the two probabilities is 0 or 1
+        gain = F.least((1.0 - a.p) * a.size, b.p * b.size)
+        loss = F.least(a.p * a.size, (1.0 - b.p) * b.size)
+        rises = u * (gain + loss) < loss
+        a_first = F.when(rises, (1.0 - a.p) * a.size <= b.p * b.size).otherwise(
+            a.p * a.size <= (1.0 - b.p) * b.size
+        )
+        moved = F.when(rises, gain).otherwise(-loss)
+        one = F.lit(1.0)
+        rest_a = F.greatest(F.least(a.p + moved / F.greatest(a.size * one, one), one), F.lit(0.0))
+        rest_b = F.greatest(F.least(b.p - moved / F.greatest(b.size * one, one), one), F.lit(0.0))
+        up_a = F.when(rises, F.lit(1)).otherwise(F.lit(0))
+        goes_on = F.when(a_first, unit(b, rest_b)).otherwise(unit(a, rest_a))
+        loser = F.when(a_first, settled(a, up_a)).otherwise(settled(b, 1 - up_a))
         return F.struct(
-            winner.cast(_UNIT).alias("rest"),
+            goes_on.cast(_UNIT).alias("rest"),
             F.concat(s.done, F.array(loser).cast(_DONE)).alias("done"),
         )
 
@@ -117,7 +127,7 @@ def mix_sources(
     A document's copies are the whole part of target / source size, or one more. Within a source
     documents meet in classes of similar size (eighths of a power of two), split by hash into
     groups of about ``group`` rows, so a large source or class is many groups. Rounding walks
-    through a group in order of size; the rest of each group meets the rests of its class, then
+    through a group from the largest; the rest of each group meets the rests of its class, then
     those of its source, and the last one is rounded by chance. All choices follow hashes of id
     and text, so reruns agree; rows that repeat id and text are interchangeable. Null text has no
     words, null source is a source, an empty table gives no rows. A source without words has
@@ -138,7 +148,9 @@ def mix_sources(
         "mix-rows",
     )
     sizes = rows.groupBy("source_key").agg(
-        F.first("source", True).alias("source"), F.sum("size").alias("source_size")
+        F.first("source", True).alias("source"),
+        F.sum("size").alias("source_size"),
+        F.count("*").alias("rows"),
     )
     plan = source_targets(sizes, share, most, weights)
     factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
@@ -149,8 +161,11 @@ def mix_sources(
         ),
         "mix-plan",
     )
-    rank = F.floor(F.log2(F.col("size") + 1) * 8).cast("int")
-    rows = rows.withColumn("rank", rank)
+    # a source that is one group needs no classes
+    rank = F.when(F.col("rows") <= group, 0).otherwise(F.floor(F.log2(F.col("size") + 1) * 8))
+    rows = rows.join(plan.select("source_key", "p", "rows"), "source_key").withColumn(
+        "rank", rank.cast("int")
+    )
     classes = rows.groupBy("source_key", "rank").agg(
         F.ceil(F.count("*") / F.lit(group)).cast("long").alias("buckets")
     )
@@ -159,7 +174,6 @@ def mix_sources(
     unit = F.struct("size", "h", "doc_id", "key", "p")
     units = (
         rows.join(classes, ["source_key", "rank"])
-        .join(plan.select("source_key", "p"), "source_key")
         .select(
             "source_key",
             "rank",
@@ -172,7 +186,7 @@ def mix_sources(
     for level in range(levels + 1):
         last = level == levels
         by = ["source_key"] if last else ["source_key", "rank", "bucket"]
-        order = F.sort_array(F.collect_list("unit"))
+        order = F.sort_array(F.collect_list("unit"), asc=False)
         rounded = save(
             units.groupBy(*by)
             .agg(order.alias("units"))

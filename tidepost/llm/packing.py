@@ -1,8 +1,8 @@
 """Harmonic packing of token pieces into sequences of a fixed capacity.
 
-A piece whose length is at most capacity / k and more than capacity / (k + 1) belongs to class k;
-a sequence of class k takes k pieces of it, whatever they are, so every class is filled by
-position alone, independently in as many groups as wanted.
+A sequence of class k has k places of capacity / k ids. A piece belongs to the class of the smallest
+places that hold it; a sequence takes k pieces of its class, whatever they are, so every class is
+filled by position alone, independently in as many groups as wanted.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from tidepost.llm.common import bounded_batches, save
 
 CAPACITY = 2048
 END_ID = 1
+#: Pieces per sequence. Few classes, so that few sequences stay incomplete.
+CLASSES = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64)
 #: Files of one vocabulary: as JSON, and as ranks for the same merges.
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -72,22 +74,27 @@ class WordIds:
         return b"".join(out)
 
 
-def cut_lengths(tokens: int, capacity: int, slack: float) -> list[int]:
+def class_of(length: int, capacity: int) -> int:
+    """Pieces of this length per sequence: the most of ``CLASSES`` whose place is large enough."""
+    return max(k for k in CLASSES if capacity // k >= length)
+
+
+def cut_lengths(tokens: int, capacity: int, slack: float, loss: int = 8) -> list[int]:
     """Lengths of the pieces of a document with so many tokens.
 
-    Full sequences first. The remainder is one piece if its place in a sequence of its class would
-    stay empty by at most ``slack`` of it; else it gives a piece that fills a place of the next
-    class and the rest is looked at again.
+    Full sequences first. The remainder is one piece if at most ``slack`` of its class's place
+    (or ``loss`` ids) would stay empty; else it gives a piece that fills a place of the next class,
+    and the rest is looked at again.
     """
     out = [capacity] * (tokens // capacity)
     rest = tokens % capacity
     while rest:
-        k = capacity // rest
+        k = class_of(rest, capacity)
         place = capacity // k
-        if place - rest <= slack * place or rest <= 16:
+        if place - rest <= max(slack * place, loss) or k == CLASSES[-1]:
             out.append(rest)
             break
-        smaller = capacity // (k + 1)
+        smaller = capacity // CLASSES[CLASSES.index(k) + 1]
         out.append(smaller)
         rest -= smaller
     return out
@@ -103,7 +110,7 @@ def _word_ids(folder: str | None) -> WordIds:
 def token_pieces(
     docs: DataFrame,
     capacity: int = CAPACITY,
-    slack: float = 0.04,
+    slack: float = 0.06,
     keep_ids: bool = False,
     folder: str | None = None,
 ) -> DataFrame:
@@ -151,7 +158,9 @@ def harmonic_pack(pieces: DataFrame, capacity: int = CAPACITY, per_group: int =
     and leaves one of them incomplete at most. Sequence ids count from 0 without gaps. All columns
     are kept.
     """
-    kind = F.floor(F.lit(capacity) / F.col("length")).cast("long")
+    kind = F.greatest(
+        *[F.when(F.col("length") <= capacity // k, F.lit(k).cast("long")) for k in CLASSES]
+    )
     classed = pieces.withColumn("__kind", kind)
     groups = F.ceil(F.count("*") / (F.col("__kind") * per_group)).cast("long")
     counts = classed.groupBy("__kind").agg(groups.alias("__groups"))
