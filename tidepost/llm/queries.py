@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepost.llm import chat, exact, mixing, packing, sharding
+from tidepost.llm import chat, exact, language, mixing, packing, sentences, sharding, toxicity
 from tidepost.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,20 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
+
+
+@_query()
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return sentences.repeated_passages(table(spark, folder, "documents"))
+
+
+@_query()
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(
+        table(spark, folder, "documents"), table(spark, folder, "labels")
+    )
+
+
+@_query()
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
