@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +26,16 @@ def save(df: DataFrame, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession, rows: int = 2_000, size: str = "8m") -> None:
-    """Limit rows and bytes of an Arrow batch, so that long texts don't fill a Python worker."""
+    """Prepare a session for Python workers that read texts.
+
+    Limits rows and bytes of an Arrow batch, so that long texts don't fill a worker, and puts the
+    folder of this package on the workers' path (for a local session, or an installation that
+    all machines share; else the package is sent with ``--py-files``).
+    """
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 

@@ -8,6 +8,7 @@ filled by position alone, independently in as many groups as wanted.
 from __future__ import annotations
 
 import base64
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,8 +24,8 @@ CAPACITY = 2048
 END_ID = 1
 #: Pieces per sequence. Few classes, so that few sequences stay incomplete.
 CLASSES = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64)
-#: Files of one vocabulary: as JSON, and as ranks for the same merges.
-VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+#: The vocabulary of byte_bpe_50k.json as ranks of its merges.
+RANKS = "byte_bpe_50k.tiktoken"
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 #: Words kept by a worker, and characters of the longest word kept.
 _KEPT_WORDS, _LONGEST = 400_000, 40
@@ -100,7 +101,9 @@ def cut_lengths(tokens: int, capacity: int, slack: float, loss: int = 8) -> list
     return out
 
 
+@functools.cache
 def _word_ids(folder: str | None) -> WordIds:
+    """Kept by a worker from one task to the next."""
     import public_tokenizers
 
     path = public_tokenizers.path(RANKS) if folder is None else f"{folder}/{RANKS}"

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,9 @@ from tidepost.llm.common import bounded_batches, crc32_bucket, save
 from tidepost.llm.spans import slices
 
 _WORD = re.compile(r"[^\W\d_]+")
-_STEMS = (4, 5, 6)
+_STEMS = (4, 5, 6, 7)
+#: A voter counts how often its word or stem comes up: once, twice, or at least this often.
+_OFTEN = 3
 #: Patterns that vote besides words and stems.
 PATTERNS = {
     "shouting": re.compile(r"(?:\b[^\W\d_a-zß-öø-ÿ]{3,}\b\W+){3}"),
@@ -31,14 +34,17 @@ PATTERNS = {
 }
 
 
-def voter_names(text: str) -> set[str]:
-    """Names of all possible voters that fire on a text."""
-    words = set(_WORD.findall(text.lower()))
-    names = {f"={w}" for w in words}
-    for size in _STEMS:
-        names.update(f"{w[:size]}~" for w in words if len(w) > size)
-    names.update(f"?{k}" for k, p in PATTERNS.items() if p.search(text))
-    return names
+def voter_names(text: str) -> list[str]:
+    """Names of all possible voters that fire on a text: ``=word 1``, ``stem~ 3``, ``?pattern``."""
+    counts = Counter(_WORD.findall(text.lower()))
+    stems: Counter = Counter()
+    for word, n in counts.items():
+        for size in _STEMS:
+            if len(word) > size:
+                stems[word[:size]] += n
+    names = [f"={w} {min(n, _OFTEN)}" for w, n in counts.items()]
+    names += [f"{s}~ {min(n, _OFTEN)}" for s, n in stems.items()]
+    return names + [f"?{k}" for k, p in PATTERNS.items() if p.search(text)]
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
@@ -61,9 +67,10 @@ def learning_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 
 
 def choose_voters(rows: DataFrame, most: int, ratio: float, support: float) -> list[str]:
-    """The voters: at least ``ratio`` times as frequent in toxic documents, the strongest first.
+    """The voters: words and others that toxic documents have more often, the strongest first.
 
-    ``support`` is the least share of toxic documents (and five of them).
+    The odds ratio, less two standard errors of its logarithm, is at least ``ratio``; ``support``
+    is the least share of toxic documents (and five of them).
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,36 +98,66 @@ def choose_voters(rows: DataFrame, most: int, ratio: float, support: float) -> l
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     )
     odds = (F.col("toxic") + 0.5) * (clean + 1) / ((F.col("clean") + 0.5) * (toxic + 1))
+    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    sure = F.log(odds) - 2 * error
     least = max(5, math.ceil(support * toxic))
     chosen = (
         counted.withColumn("odds", odds)
-        .filter((F.col("toxic") >= least) & (F.col("odds") >= ratio))
+        .filter((F.col("toxic") >= least) & (sure >= math.log(ratio)))
         .orderBy((F.col("toxic") * F.log("odds")).desc(), "voter")
-        .limit(most)
+        .limit(4 * most)
+        .collect()
     )
-    return [r.voter for r in chosen.collect()]
+    return own_voters([(r.voter, r.toxic) for r in chosen])[:most]
+
+
+def own_voters(found: list[tuple[str, int]], share: float = 0.6) -> list[str]:
+    """Names without the stems that live on one longer stem or word.
+
+    Such a stem has ``share`` of its toxic documents from a longer name as often in the text, and
+    would also fire on other words.
+    """
+    kept = []
+    for name, toxic in found:
+        stem, _, often = name.rpartition(" ")
+        longer = (
+            n
+            for other, n in found
+            if stem.endswith("~")
+            and other.endswith(" " + often)
+            and other.removeprefix("=").startswith(stem[:-1])
+            and len(other) > len(name)
+        )
+        if not any(n >= share * toxic for n in longer):
+            kept.append(name)
+    return kept
 
 
 def cast_votes(docs: DataFrame, voters: list[str]) -> DataFrame:
     """``doc_id, votes``: the numbers of the voters that fire on each whole text."""
     bounded_batches(docs.sparkSession)
-    number = {v: i for i, v in enumerate(voters)}
-    words = {v[1:]: i for v, i in number.items() if v[0] == "="}
-    stems = {
-        size: {v[:-1]: i for v, i in number.items() if v[-1] == "~" and len(v) == size + 1}
-        for size in _STEMS
-    }
-    patterns = [(p, number[f"?{k}"]) for k, p in PATTERNS.items() if f"?{k}" in number]
+    words: dict[str, dict[int, int]] = {}
+    stems: dict[int, dict[str, dict[int, int]]] = {size: {} for size in _STEMS}
+    patterns = []
+    for i, voter in enumerate(voters):
+        if voter[0] == "?":
+            patterns.append((PATTERNS[voter[1:]], i))
+            continue
+        name, often = voter.rsplit(" ", 1)
+        table = words if name[0] == "=" else stems[len(name) - 1]
+        table.setdefault(name[1:] if name[0] == "=" else name[:-1], {})[int(often)] = i
+    stems = {size: table for size, table in stems.items() if table}
 
     def votes(text: str) -> list[int]:
-        found = set(_WORD.findall(text.lower()))
-        fired = [words[w] for w in found & words.keys()]
+        counts = Counter(_WORD.findall(text.lower()))
+        fired = [words[w].get(min(counts[w], _OFTEN)) for w in counts.keys() & words.keys()]
         for size, table in stems.items():
-            if table:
-                starts = {w[:size] for w in found if len(w) > size}
-                fired += [table[s] for s in starts & table.keys()]
+            found: Counter = Counter()
+            for word in [w for w in counts if w[:size] in table and len(w) > size]:
+                found[word[:size]] += counts[word]
+            fired += [table[s].get(min(n, _OFTEN)) for s, n in found.items()]
         fired += [i for p, i in patterns if p.search(text)]
-        return sorted(fired)
+        return sorted(i for i in fired if i is not None)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,12 +209,18 @@ def _logistic(x: Column) -> Column:
 
 
 def label_model(
-    patterns: DataFrame, groups: list[int], start: tuple[np.ndarray, np.ndarray, float], rounds: int
+    patterns: DataFrame,
+    groups: list[int],
+    start: tuple[np.ndarray, np.ndarray, float],
+    rounds: int,
+    silence: float,
 ) -> tuple[float, np.ndarray]:
     """Intercept and weight of each group for the log odds that a document is toxic.
 
     Expectation maximisation over all vote patterns. ``start`` has the rates at which groups fire
-    in toxic and clean documents, and the share of toxic ones.
+    in toxic and clean documents, and the share of toxic ones, which stays. Voters that don't
+    fire count by ``silence`` only, since their silence is correlated: a document has words of one
+    language and few of the voters.
     """
     table = F.array(*[F.lit(g) for g in groups])
     grouped = patterns.select(
@@ -187,10 +230,11 @@ def label_model(
         grouped.groupBy("fired").agg(F.sum("n").alias("n")), "toxicity-patterns"
     )
     toxic, clean, share = start
-    for _ in range(rounds + 1):
-        weight = np.log(toxic / clean) - np.log((1 - toxic) / (1 - clean))
-        base = math.log(share / (1 - share)) + float(np.log((1 - toxic) / (1 - clean)).sum())
-        if _ == rounds:
+    for step in range(rounds + 1):
+        absent = np.log((1 - toxic) / (1 - clean))
+        weight = np.log(toxic / clean) - silence * absent
+        base = math.log(share / (1 - share)) + silence * float(absent.sum())
+        if step == rounds:
             break
         posterior = _logistic(F.lit(base) + _sum_over(F.col("fired"), list(weight)))
         rated = grouped.select("fired", "n", (posterior * F.col("n")).alias("t"))
@@ -203,7 +247,6 @@ def label_model(
         toxic = (t + 1.0) / (all_t + 20.0)
         clean = (n - t + 0.05) / (all_n - all_t + 20.0)
         toxic, clean = np.clip(toxic, 1e-6, 1 - 1e-6), np.clip(clean, 1e-9, 1 - 1e-6)
-        share = float(np.clip(all_t / max(all_n, 1), 1e-4, 0.5))
     return base, weight
 
 
@@ -225,11 +268,12 @@ def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
     most_rows: int = 30_000,
-    most_voters: int = 256,
-    ratio: float = 6.0,
-    support: float = 0.002,
+    most_voters: int = 512,
+    ratio: float = 8.0,
+    support: float = 0.001,
     alike: float = 0.6,
-    rounds: int = 6,
+    rounds: int = 4,
+    silence: float = 0.2,
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every document, by its whole text alone.
 
@@ -266,7 +310,7 @@ def score_toxicity(
             np.clip((rates[0] + 0.05) / (clean_rows + 1), 1e-9, 1 - 1e-6),
             share,
         )
-        base, weight = label_model(patterns, groups, start, rounds)
+        base, weight = label_model(patterns, groups, start, rounds, silence)
         fired = np.zeros((len(learn), len(voters)))
         target = np.zeros(len(learn))
         for i, r in enumerate(learn):
