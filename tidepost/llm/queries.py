@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepost.llm import chat, exact, language, mixing, packing, sentences, sharding, toxicity
+from tidepost.llm import (
+    chat,
+    exact,
+    language,
+    mixing,
+    nearest,
+    packing,
+    sentences,
+    sharding,
+    toxicity,
+)
 from tidepost.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +121,8 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
+
+
+@_query()
+def op6_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest(table(spark, folder, "embeddings"))

@@ -273,7 +273,7 @@ def score_toxicity(
     support: float = 0.001,
     alike: float = 0.6,
     rounds: int = 4,
-    silence: float = 0.2,
+    silence: float = 0.25,
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every document, by its whole text alone.
 
