@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidepost.llm import (
     chat,
     exact,
+    jaccard,
     language,
     mixing,
     nearest,
@@ -126,3 +127,8 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op6_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest(table(spark, folder, "embeddings"))
+
+
+@_query()
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, folder, "documents"))
