@@ -49,6 +49,7 @@ def components(links: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
+    edges = edges.filter("a <> b")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     )

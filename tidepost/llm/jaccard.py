@@ -227,10 +227,26 @@ def _verified(pairs: DataFrame, lists: DataFrame) -> DataFrame:
     return met.mapInArrow(probe, "a bigint, b bigint")
 
 
-def _sized(pairs: DataFrame) -> DataFrame:
-    """Pairs whose sizes allow the similarity."""
-    least, most = F.least("na", "nb"), F.greatest("na", "nb")
-    return pairs.filter((F.col("a") != F.col("b")) & (least * 100 >= most * PERCENT))
+#: What is known of a class in a merged list: size, shared shingles, place of the list among its own.
+_KNOWN = ("n", "m", "place")
+
+
+def _possible(pairs: DataFrame) -> DataFrame:
+    """Pairs that can be similar, by what their list says.
+
+    Similar sets share at least 3/7 of both sizes together. They can't share more than the shared
+    shingles that either has, from the list on, which is the first that they have in common (if it
+    isn't, the pair comes up in that one).
+    """
+    most = F.least(*[F.col(f"m{x}") - F.col(f"place{x}") + 1 for x in "ab"])
+    least = (F.col("na") + F.col("nb")) * PERCENT
+    return pairs.filter((F.col("a") != F.col("b")) & (most * (100 + PERCENT) >= least))
+
+
+def _side(short: DataFrame, x: str) -> DataFrame:
+    """A list's classes as one side of a pair."""
+    names = {"class": x, "label": f"label{x}"} | {k: f"{k}{x}" for k in _KNOWN}
+    return short.select("token", *[F.col(k).alias(v) for k, v in names.items()])
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -240,13 +256,14 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def class_links(
     shared: DataFrame, sizes: DataFrame, rounds: int = 8, pairs_per_row: int = 4
 ) -> DataFrame | None:
-    """Links ``a, b`` between classes, enough of them to connect all that similar pairs connect.
+    """Links ``a, b`` from a class to the smallest that similar pairs reach; None without links.
 
     ``shared`` has ``class, token``, ``sizes`` has ``class, n``. Texts with fewer shared shingles
     than required are out. Of what is left, the classes in a merged list are first compared with
     one of them, the one whose shingles are shared most; what that connects needs no comparison
-    any more. This is repeated with other members while a list's unconnected pairs would be many,
-    and in the end all pairs that no link connects are compared.
+    any more. This is repeated with other members while unconnected pairs would be many and become
+    fewer. In the end all pairs that no link connects are compared, if sizes, shared shingles and
+    the list's place allow the overlap.
     """
     counts = shared.groupBy("class").agg(F.count("*").alias("m"))
     enough = counts.join(sizes, "class").filter(F.col("m") >= _required("n")).select("class")
@@ -268,10 +285,10 @@ def class_links(
     )
     own = (F.col("n") - F.col("m")) / F.col("n")
     short = save(
-        short.select("token", "class", "n", own.alias("own"), F.col("class").alias("label")),
+        short.select("token", "class", *_KNOWN, own.alias("own"), F.col("class").alias("label")),
         "jaccard-short",
     )
-    links = None
+    links, before = None, math.inf
     for turn in range(rounds + 1):
         by_label = short.groupBy("token", "label").agg(F.count("*").alias("c"))
         unsettled = by_label.groupBy("token").agg(
@@ -284,31 +301,30 @@ def class_links(
         )
         if not rows:
             break
-        last = turn == rounds or (turn and pairs <= pairs_per_row * rows + 50_000)
+        few = pairs <= pairs_per_row * rows + 50_000
+        last = turn == rounds or (turn > 0 and few) or pairs > 0.9 * before
+        before = pairs
         if last:
-            other = short.select(
-                "token",
-                F.col("class").alias("b"),
-                F.col("n").alias("nb"),
-                F.col("label").alias("label_b"),
-            )
-            found = short.withColumnsRenamed({"class": "a", "n": "na"}).join(other, "token")
-            found = found.filter("label <> label_b AND a < b")
+            other = _side(short, "b")
+            possible = F.col("a") < F.col("b")
         else:
             order = [F.col("own")] if not turn else []
-            order += [F.xxhash64(F.lit(turn), "class").alias("h"), "class", "n"]
+            order += [F.xxhash64(F.lit(turn), "class").alias("h"), "class", "label", *_KNOWN]
             pivots = short.groupBy("token").agg(F.min(F.struct(*order)).alias("p"))
-            found = short.withColumnsRenamed({"class": "a", "n": "na"}).join(
-                pivots.select("token", F.col("p.class").alias("b"), F.col("p.n").alias("nb")),
-                "token",
-            )
-        found = save(_verified(_ordered(_sized(found)), lists), "jaccard-links")
-        links = found if links is None else save(links.unionByName(found), "jaccard-links")
+            other = _side(pivots.select("token", "p.*"), "b")
+            possible = F.lit(True)
+        found = _side(short, "a").join(other, "token").filter("labela <> labelb")
+        found = _possible(found.filter(possible))
+        found = save(_verified(_ordered(found), lists), "jaccard-links")
+        # what links have connected so far is kept as one link for each class
+        links = components(found if links is None else links.unionByName(found)).select(
+            F.col("node").alias("a"), F.col("label").alias("b")
+        )
         if last:
             break
-        labels = components(links).withColumnRenamed("label", "reached")
-        short = short.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
-            "token", "class", "n", "own", F.coalesce("reached", "class").alias("label")
+        labels = links.select(F.col("a").alias("class"), F.col("b").alias("reached"))
+        short = short.join(labels, "class", "left").select(
+            "token", "class", *_KNOWN, "own", F.coalesce("reached", "class").alias("label")
         )
     return links
 
@@ -328,7 +344,7 @@ def _labelled(docs: DataFrame, per_bucket: int, flush: int) -> tuple[DataFrame,
     links = class_links(shared, sizes.select("class", "n"))
     if links is None:
         return classed, sizes.select("class", "least", F.col("class").alias("label"))
-    labels = components(links).withColumnRenamed("node", "class")
+    labels = links.select(F.col("a").alias("class"), F.col("b").alias("label"))
     labelled = sizes.join(labels, "class", "left").select(
         "class", "least", F.coalesce("label", "class").alias("label")
     )
