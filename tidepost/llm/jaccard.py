@@ -46,7 +46,7 @@ def text_classes(docs: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 2):
+            for part in slices(batch, 2, 1 << 20):
                 sets, bounds = shingle_sets(part.column(2), WORDS)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -145,13 +145,13 @@ def shared_shingles(docs: DataFrame, total: int, per_bucket: int, flush: int) ->
             )
 
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, 1 << 20):
                 sets, bounds = shingle_sets(part.column(0), WORDS)
                 full = np.flatnonzero(np.diff(bounds))
                 keys = _class_keys(sets, bounds)[full]
                 held.append((sets, np.append(bounds[full], bounds[-1]), keys))
                 size += len(sets)
-                if size >= flush or sum(len(h[2]) for h in held) > 60_000:
+                if size >= flush or sum(len(h[2]) for h in held) > 20_000:
                     yield rows()
                     held, size = [], 0
         if held:
@@ -351,7 +351,7 @@ def _labelled(docs: DataFrame, per_bucket: int, flush: int) -> tuple[DataFrame,
     return classed, save(labelled, "jaccard-labels")
 
 
-def similar_groups(docs: DataFrame, per_bucket: int = 500_000, flush: int = 2_000_000) -> DataFrame:
+def similar_groups(docs: DataFrame, per_bucket: int = 500_000, flush: int = 700_000) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every document.
 
     A document's set has the hashes of the 5-word shingles of its whole text, lower-cased (A-Z);
@@ -375,7 +375,7 @@ def similar_groups(docs: DataFrame, per_bucket: int = 500_000, flush: int = 2_00
     )
 
 
-def drop_similar(docs: DataFrame, per_bucket: int = 500_000, flush: int = 2_000_000) -> DataFrame:
+def drop_similar(docs: DataFrame, per_bucket: int = 500_000, flush: int = 700_000) -> DataFrame:
     """One document of each group, with the columns of ``docs``.
 
     The smallest id stays (null last, then by a hash of the text); texts without words all stay,
