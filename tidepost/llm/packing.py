@@ -28,7 +28,7 @@ CLASSES = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64)
 RANKS = "byte_bpe_50k.tiktoken"
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 #: Words kept by a worker, and characters of the longest word kept.
-_KEPT_WORDS, _LONGEST = 400_000, 40
+_KEPT_WORDS, _LONGEST = 200_000, 32
 #: Characters for which the quick pattern might cut other words than the vocabulary's own.
 _UNUSUAL = re.compile("[\x1c-\x1f²³¹¼½¾]|[^\x00-ɏ]")
 _QUICK = re.compile(
