@@ -45,10 +45,12 @@ def a2_top(v):
 
 @query(
     "a3_sentiment_summary",
-    """SELECT final_sentiment, sarcasm_label, count(*) AS count,
-         count(CASE WHEN review_required THEN 1 END) AS pending_review,
-         round(100.0 * count(*)::DOUBLE / (SELECT count(*) FROM final), 2) AS percentage
-       FROM final GROUP BY ALL""",
+    """WITH everything AS (SELECT count(*)::DOUBLE AS posts FROM final),
+       cells AS (
+         SELECT final_sentiment, sarcasm_label, count(*) AS count,
+           coalesce(sum(review_required::INT), 0)::BIGINT AS pending_review
+         FROM final GROUP BY final_sentiment, sarcasm_label)
+       SELECT cells.*, round(count / posts * 100, 2) AS percentage FROM cells, everything""",
     "final",
 )
 def a3(v):

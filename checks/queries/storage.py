@@ -33,7 +33,7 @@ def s1(v):
         export_csv(second, scratch_path(v.spark, "b")),
         scratch_path(v.spark, "absent"),
     ]
-    posts = read_posts_csv(v.spark, paths)
+    posts = read_posts_csv(v.spark, paths, optional=paths[2:])
     return posts.select(*columns, F.col("source_file").endswith(".csv").alias("has_file"))
 
 

@@ -94,7 +94,7 @@ def p12(v):
 def j6(v):
     docs = v.table("documents").select("doc_id", t.squeeze(F.lower("text")).alias("text"))
     lookup = v.spark.createDataFrame(list(LOOKUP.items()), "token string, form string")
-    return normalize_tokens_join(docs, "doc_id", "text", lookup)
+    return normalize_tokens_join(docs, "text", lookup)
 
 
 @query(

@@ -143,3 +143,15 @@ def test_report_filter_parts(frame):
     assert report_filter(df, "l", ["a", "b"], "ts", start="2024-01-02").count() == 2
     assert report_filter(df, "l", ["a", "b"], "ts", irony="i").count() == 1
     assert report_filter(df, "l", [], "ts").count() == 0
+
+
+def test_times_as_scraped(column):
+    texts = ["Fri Nov 24 17:49:36 +0000 2023", "24 Nov 2023 10:00:00", "2024/01/05 10:00",
+             "Friday, 24 Nov 2023 10:00", "2023-11-24T10:00:00Z", "soon", "Frisbee", None,
+             "Fri 24 Nov 2023 10:00:00 +0100"]
+    got = column(texts, F.date_format(c.parse_time("x"), "yyyy-MM-dd HH:mm:ss"))
+    assert got == ["2023-11-24 17:49:36", "2023-11-24 10:00:00", "2024-01-05 10:00:00",
+                   "2023-11-24 10:00:00", "2023-11-24 10:00:00", None, None, None,
+                   "2023-11-24 09:00:00"]
+    own = column(texts[:1], c.parse_time("x", ["EEE MMM dd HH:mm:ss Z yyyy"]).cast("string"))
+    assert own == ["2023-11-24 17:49:36"]

@@ -4,6 +4,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from checks.views import LABELS, PROBS
@@ -29,19 +30,31 @@ def test_csv_sources_differ_in_columns(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,text,likeCount\n1,x,5\n", encoding="utf-8")
     (tmp_path / "b.csv").write_text("text,id\n\"y\nz\",2\n", encoding="utf-8")
     paths = [str(tmp_path / n) for n in ("a.csv", "b.csv", "missing.csv")]
-    got = {r["id"]: r for r in files.read_posts_csv(spark, paths).collect()}
+    got = {r["id"]: r for r in files.read_posts_csv(spark, paths, optional=paths[2:]).collect()}
     assert (got["1"]["likeCount"], got["2"]["likeCount"]) == ("5", None)
     assert (got["1"]["source_file"], got["2"]["source_file"]) == ("a.csv", "b.csv")
     assert got["2"]["text"] == "y\nz"
     with pytest.raises(FileNotFoundError):
-        files.read_posts_csv(spark, paths[2:])
+        files.read_posts_csv(spark, paths[2:], optional=paths[2:])
+    with pytest.raises(AnalysisException):
+        files.read_posts_csv(spark, paths)
 
 
-def test_lookup_file(tmp_path):
+def test_csv_headers_in_another_order_fail_loudly(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,text\n1,x\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("text,id\ny,2\n", encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_posts_csv(spark, [str(tmp_path)]).collect()
+
+
+def test_lookup_file(spark, tmp_path):
     path = tmp_path / "words.json"
     path.write_text('{"a": "x", "b": "", "a": "y"}', encoding="utf-8")
-    assert files.load_lookup(str(path)) == {"a": "y", "b": ""}
-    assert files.load_lookup(str(tmp_path / "none.json")) == {}
+    assert files.load_lookup(spark, str(path)) == {"a": "y", "b": ""}
+    missing = str(tmp_path / "none.json")
+    assert files.load_lookup(spark, missing, optional=True) == {}
+    with pytest.raises(AnalysisException):
+        files.load_lookup(spark, missing)
 
 
 def test_stage_round_trip_counts_rows(spark, tmp_path):

@@ -152,3 +152,28 @@ def test_fixed_sample_has_n_rows(hot):
     assert len(sample) == 100
     assert sample == {r["id"] for r in sampling.fixed_sample(hot.repartition(2), 100, "id").collect()}
     assert sampling.fixed_sample(hot, 10_000, "id").count() == 3000
+
+
+def test_top_n_keeps_order_for_any_n(spark):
+    df = spark.range(6000).repartition(7).withColumn("x", F.pmod(F.xxhash64("id"), F.lit(500)))
+    rows = sorted((r.x, r.id) for r in df.collect())
+    for n in (10, 1000, 1001, 2500):
+        got = [(r.x, r.id) for r in ranking.top_n(df, ["x", "id"], n).collect()]
+        assert got == rows[:n]
+
+
+def test_nan_and_null_scores_come_last(frame):
+    df = frame([(1, float("nan")), (2, 0.5), (3, 0.1), (4, None)], "id int, m double")
+    for n, ids in ((1, [3]), (2, [3, 2]), (3, [3, 2, 1]), (4, [3, 2, 1, 4])):
+        got = ranking.most_uncertain(df.withColumn("e", F.lit(0.0)), n, "m", "e", ["id"]).collect()
+        assert [r.id for r in got] == ids
+
+
+def test_null_keys_are_split_and_sampled(frame):
+    rows = [(None if i % 10 == 0 else i, i, "ab"[i % 2]) for i in range(100)]
+    df = frame(rows, "k int, i int, label string")
+    split = sampling.stratified_split(df, "label", "k", ["a", "b"]).collect()
+    assert len(split) == 100 and sum(r.split == "eval" for r in split) == 20
+    train, test = sampling.split_by_hash(df, "k")
+    assert train.count() + test.count() == 100
+    assert len({r.i for r in sampling.fixed_sample(df, 95, "k").collect()}) == 95

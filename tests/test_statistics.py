@@ -195,3 +195,10 @@ def test_stage_counts_and_observation(spark, posts):
     watched, watch = counts.observed(posts, "posts")
     watched.write.format("noop").mode("overwrite").save()
     assert watch.get["rows"] == 4000
+
+
+def test_histogram_leaves_out_what_is_no_number(frame):
+    values = [0.0, 1.0, 2.0, float("nan"), float("inf"), float("-inf"), None]
+    df = frame([(v,) for v in values], "x double")
+    rows = counts.histogram(df, "x", 2).collect()
+    assert [(r.bin, r.n) for r in rows] == [(0, 1), (1, 2)]

@@ -88,8 +88,12 @@ def profile(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = fixed.HISTOGRAM_BINS) -> DataFrame:
-    """Equal-width bins over the range of the column, the last one closed, empty ones included."""
+    """Equal-width bins over the range of the column, the last one closed, empty ones included.
+
+    Null, NaN and infinite values are in no bin and don't widen the range.
+    """
     value = F.col(column).cast("double")
+    value = F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value)
     ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     flat = F.col("lo") == F.col("hi")
     ends = ends.select(

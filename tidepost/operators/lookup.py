@@ -76,13 +76,14 @@ def attach_predictions(
 
 
 def normalize_tokens_join(
-    df: DataFrame, key: str, text: str, lookup: DataFrame, token: str = "token", form: str = "form"
+    df: DataFrame, text: str, lookup: DataFrame, token: str = "token", form: str = "form"
 ) -> DataFrame:
     """Dictionary replacement as a join, for a dictionary too large for an expression.
 
-    ``key`` must identify rows and ``token`` dictionary entries. Only the distinct tokens that occur in the dictionary are
-    shuffled; the texts are rebuilt from a small map per row. The dictionary is broadcast if its
-    measured size allows it, else merged in; Spark is not left to guess, because it takes the
+    ``token`` must identify dictionary entries. Texts are known by their digest, so rows need no
+    key and equal texts share one map of replacements, from which each is rebuilt. The dictionary
+    is broadcast if its measured size allows it, and only tokens that occur in it are shuffled;
+    else it is merged in, which shuffles each text's distinct tokens; Spark is not left to guess, because it takes the
     exploded tokens for as small as the texts they come from.
     """
     forms = lookup.select(F.col(token).alias("_token"), F.col(form).alias("_form"))
@@ -90,12 +91,13 @@ def normalize_tokens_join(
         forms = F.broadcast(forms)
     else:
         forms = forms.hint("merge")
+    digest = F.sha2(F.col(text), 256).alias("_digest")
     hits = (
-        df.select(key, F.explode_outer(F.array_distinct(F.split(text, " "))).alias("_token"))
+        df.select(digest, F.explode(F.array_distinct(F.split(text, " "))).alias("_token"))
         .filter(F.col("_token") != "")
         .join(forms, "_token")
-        .groupBy(key)
-        .agg(F.map_from_entries(F.collect_list(F.struct("_token", "_form"))).alias("_forms"))
+        .groupBy("_digest")
+        .agg(F.map_from_entries(F.collect_set(F.struct("_token", "_form"))).alias("_forms"))
     )
     tokens = F.transform(
         F.split(text, " "), lambda x: F.coalesce(F.try_element_at("_forms", x), x)
@@ -103,4 +105,9 @@ def normalize_tokens_join(
     replaced = F.when(F.col("_forms").isNull(), F.col(text)).otherwise(
         strip(F.array_join(tokens, " "))
     )
-    return df.join(hits, key, "left").withColumn(text, replaced).select(*df.columns)
+    return (
+        df.withColumn("_digest", digest)
+        .join(hits, "_digest", "left")
+        .withColumn(text, replaced)
+        .select(*df.columns)
+    )

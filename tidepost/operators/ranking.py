@@ -48,21 +48,25 @@ def number_rows(
 def top_n(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
     """The first ``n`` rows in ``order``, which must be total.
 
-    A small n is Spark's top-k; a large one is cut off by row number, because top-k would bring
-    n rows of every task to one task.
+    Rows and their order are the same for any n. Up to ``TOP_K_ROWS`` Spark's top-k does it;
+    beyond, rows are cut off by number and sorted, because top-k would bring n rows of every task
+    to one task. Row numbers are written once while the frame is built.
     """
     if n <= TOP_K_ROWS:
         return df.orderBy(*order).limit(n)
-    return number_rows(df, order, "_number").filter(F.col("_number") <= n).drop("_number")
+    numbered = number_rows(df, order, "_number").filter(F.col("_number") <= n)
+    return numbered.orderBy("_number").drop("_number")
 
 
 def smallest_scores(df: DataFrame, score: Column, n: int, bins: int = 65_536) -> DataFrame:
     """Rows that can be among the ``n`` smallest of a score in [0, 1], and few others.
 
     Counts per score bin (at most ``bins`` + 2 rows) give the bin in which the n-th row lies;
-    everything above it is filtered out before any sort. Null scores come last.
+    everything above it is filtered out before any sort. NaN and null scores come last, as they do
+    in a sort.
     """
-    slot = F.coalesce(F.least(F.floor(score * bins), F.lit(bins)), F.lit(bins + 1))
+    slot = F.least(F.floor(F.when(~F.isnan(score.cast("double")), score) * bins), F.lit(bins))
+    slot = F.coalesce(slot, F.lit(bins + 1))
     counts = df.groupBy(slot.alias("_bin")).agg(F.count(F.lit(1)).alias("_rows"))
     running = F.sum("_rows").over(Window.orderBy("_bin"))
     cut = (

@@ -14,11 +14,12 @@ _BINS = 4096
 
 def _digest(key: Column | str, seed: int) -> Column:
     key = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(key.cast("string"), F.lit(f"|{seed}")))
+    text = F.coalesce(key.cast("string"), F.lit("null"))
+    return F.md5(F.concat(text, F.lit(f"|{seed}")))
 
 
 def hash_unit(key: Column | str, seed: int = 42) -> Column:
-    """Number in [0, 1) that is fixed by the key and the seed."""
+    """Number in [0, 1) that is fixed by the key and the seed; null is a key like others."""
     first = F.conv(F.substring(_digest(key, seed), 1, 8), 16, 10).cast("bigint")
     return first / F.lit(float(1 << 32))
 
@@ -27,7 +28,7 @@ def split_by_hash(
     df: DataFrame, key: str, fraction: float = 0.8, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
     """Training and evaluation part; every label keeps about ``fraction``, without a shuffle."""
-    unit = F.coalesce(hash_unit(key, seed), F.lit(0.0))
+    unit = hash_unit(key, seed)
     return df.filter(unit < fraction), df.filter(unit >= fraction)
 
 

@@ -51,7 +51,7 @@ EXPORT_COLUMNS = {
 
 @dataclass(frozen=True)
 class ExportTypes:
-    """Result columns by the type they get."""
+    """Result columns by the type they get; the names are fixed values of the result table."""
 
     strings: Sequence[str] = ("tweet_id",)
     addresses: Sequence[str] = ("url",)

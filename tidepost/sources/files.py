@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import os
+import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -13,17 +13,22 @@ from pyspark.sql import functions as F
 from tidepost.operators.shape import union_all
 
 
+logger = logging.getLogger(__name__)
+
+
 def read_posts_csv(
     spark: SparkSession,
     paths: Sequence[str],
     source: str = "source_file",
     multi_line: bool = True,
     encoding: str = "UTF-8",
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """Read CSV files or folders with a header as strings and note the file of each row.
 
-    Paths that cannot be read are skipped, and it is an error if none is left. Files that share
-    columns belong under one path; paths may differ in their columns. A file with line breaks
+    A path that does not exist is an error, unless it is among ``optional``: then it is skipped
+    with a warning in the log. Files that share columns, in one order, belong under one path (a
+    file with another header is an error when it is read); paths may differ in their columns. A file with line breaks
     inside cells cannot be split, so such data should come as many files; ``multi_line=False``
     reads others in splits.
     """
@@ -36,13 +41,16 @@ def read_posts_csv(
                     inferSchema=False,
                     multiLine=multi_line,
                     escape='"',
+                    enforceSchema=False,
                     encoding=encoding,
                 )
                 .csv(path)
                 .withColumn(source, F.col("_metadata.file_name"))
             )
-        except AnalysisException:
-            continue
+        except AnalysisException as error:
+            if path not in optional or error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            logger.warning("optional input %s does not exist and is skipped", path)
     if not frames:
         raise FileNotFoundError(f"none of {list(paths)} can be read")
     return union_all(frames)
@@ -53,12 +61,19 @@ def read_labelled_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return read_posts_csv(spark, paths, source="_source").drop("_source")
 
 
-def load_lookup(path: str) -> dict[str, str]:
-    """Token dictionary from a JSON object; the last of repeated keys counts, no file is empty."""
-    if not os.path.exists(path):
+def load_lookup(spark: SparkSession, path: str, optional: bool = False) -> dict[str, str]:
+    """Token dictionary from a JSON object in any file system that Spark reads.
+
+    The last of repeated keys counts. A missing file is an error, or empty if it is ``optional``.
+    """
+    try:
+        text = spark.read.text(path, wholetext=True).first()
+    except AnalysisException as error:
+        if not optional or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        logger.warning("optional dictionary %s does not exist", path)
         return {}
-    with open(path, encoding="utf-8") as file:
-        return json.load(file)
+    return json.loads(text[0]) if text else {}
 
 
 def read_stage(
