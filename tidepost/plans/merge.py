@@ -36,11 +36,10 @@ def merge_predictions(
     """Attach irony by key, fill the gaps, name the class and resolve the final sentiment."""
     require(scored, [key, label], "scored posts")
     require(irony, [key, "sarcasm_label", "sarcasm_confidence"], "irony predictions")
-    posts = scored.withColumn(key, F.col(key).cast("string")).withColumnRenamed(
-        label, "sentiment_label"
-    )
+    as_text = F.col(key).cast("string")
+    posts = scored.withColumn(key, as_text).withColumnRenamed(label, "sentiment_label")
     merged = attach_predictions(
-        posts, irony, key, ["sarcasm_confidence", "sarcasm_label"], salts
+        posts, irony.withColumn(key, as_text), key, ["sarcasm_confidence", "sarcasm_label"], salts
     )
     matched = F.col("sarcasm_label").isNotNull()
     return fill_irony(merged.withColumn("irony_matched", matched)).withColumns(
