@@ -64,12 +64,23 @@ def text_classes(docs: DataFrame) -> DataFrame:
     )
 
 
+def _planes(names: np.ndarray) -> bytes:
+    """Sorted numbers, first bytes first: those repeat, so that the shuffle's compression helps."""
+    return np.ascontiguousarray(names.astype(">i8").view("u1").reshape(-1, 8).T).tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    whole = np.ascontiguousarray(np.frombuffer(data, "u1").reshape(8, -1).T)
+    return whole.view(">i8").ravel().astype(np.int64)
+
+
 def _bucketed(sets: np.ndarray, bounds: np.ndarray, keys: np.ndarray, buckets: int):
     """Rows ``bucket, classes, places, low, high, direct`` of some texts.
 
-    A bucket's row has the shingles that fall into it: ``low`` and ``high`` bits, and by
-    ``places`` (steps) their place in ``classes``. Shingles that several of these texts share are
-    there once, for the class ``_MANY``; which texts have them goes along as ``direct``.
+    A bucket's row has the shingles that fall into it in the order of their classes: ``low`` and
+    ``high`` bits, and a bit in ``places`` where the next of ``classes`` (see ``_planes``) begins.
+    Shingles that several of these texts share are there once, for the class ``_MANY``; which texts
+    have them goes along as ``direct``.
     """
     first = np.unique(keys, return_index=True)[1]
     chosen = np.zeros(len(keys), dtype=bool)
@@ -85,7 +96,7 @@ def _bucketed(sets: np.ndarray, bounds: np.ndarray, keys: np.ndarray, buckets: i
     leaders = np.empty(len(sets), dtype=bool)
     leaders[order] = ~same[:-1] & same[1:]
     classes = keys[text]
-    token = ((sets >> np.uint64(44)) % np.uint64(buckets) << np.uint64(40) | sets & _LOW).view(
+    token = ((sets >> np.uint64(40)) % np.uint64(buckets) << np.uint64(40) | sets & _LOW).view(
         np.int64
     )
     direct = np.flatnonzero(shared)
@@ -104,8 +115,8 @@ def _bucketed(sets: np.ndarray, bounds: np.ndarray, keys: np.ndarray, buckets: i
         tokens = token[alone[part]] & np.int64(_LOW)
         yield (
             b,
-            names.tobytes(),
-            np.diff(place, prepend=0).astype("<u2").tobytes(),
+            _planes(names),
+            np.packbits(np.diff(place, prepend=0).astype(bool)).tobytes(),
             (tokens & 0xFFFFFFFF).astype("<u4").tobytes(),
             (tokens >> 32).astype("u1").tobytes(),
             np.stack([classes[pieces[b]], token[pieces[b]]]).tobytes(),
@@ -125,7 +136,7 @@ def shared_shingles(docs: DataFrame, total: int, per_bucket: int, flush: int) ->
     finds out which came from several classes. So a shingle of very many texts arrives once per
     task. Rows of a class that came up in several tasks may repeat.
     """
-    buckets = max(1, min(1 << 20, math.ceil(total / per_bucket)))
+    buckets = max(1, min(1 << 23, math.ceil(total / per_bucket)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -161,10 +172,9 @@ def shared_shingles(docs: DataFrame, total: int, per_bucket: int, flush: int) ->
         bucket = group.column("bucket")[0].as_py()
         classes, tokens, direct = [], [], []
         for row in group.select(["classes", "places", "low", "high", "direct"]).to_pylist():
-            names = np.frombuffer(row["classes"], np.int64)
-            place = np.cumsum(np.frombuffer(row["places"], "<u2").astype(np.int64))
-            classes.append(names[place])
             low = np.frombuffer(row["low"], "<u4").astype(np.int64)
+            steps = np.unpackbits(np.frombuffer(row["places"], "u1"), count=len(low))
+            classes.append(_from_planes(row["classes"])[np.cumsum(steps, dtype=np.int64)])
             high = np.frombuffer(row["high"], "u1").astype(np.int64)
             tokens.append(high << 32 | low)
             direct.append(np.frombuffer(row["direct"], np.int64).reshape(2, -1))
@@ -351,7 +361,7 @@ def _labelled(docs: DataFrame, per_bucket: int, flush: int) -> tuple[DataFrame,
     return classed, save(labelled, "jaccard-labels")
 
 
-def similar_groups(docs: DataFrame, per_bucket: int = 500_000, flush: int = 700_000) -> DataFrame:
+def similar_groups(docs: DataFrame, per_bucket: int = 1_500_000, flush: int = 700_000) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every document.
 
     A document's set has the hashes of the 5-word shingles of its whole text, lower-cased (A-Z);
@@ -375,7 +385,7 @@ def similar_groups(docs: DataFrame, per_bucket: int = 500_000, flush: int = 700_
     )
 
 
-def drop_similar(docs: DataFrame, per_bucket: int = 500_000, flush: int = 700_000) -> DataFrame:
+def drop_similar(docs: DataFrame, per_bucket: int = 1_500_000, flush: int = 700_000) -> DataFrame:
     """One document of each group, with the columns of ``docs``.
 
     The smallest id stays (null last, then by a hash of the text); texts without words all stay,
