@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepost.llm.common import ROW_KEY, bounded_batches, keep_keyed, row_key, save
@@ -268,31 +268,36 @@ def class_links(
 ) -> DataFrame | None:
     """Links ``a, b`` from a class to the smallest that similar pairs reach; None without links.
 
-    ``shared`` has ``class, token``, ``sizes`` has ``class, n``. Texts with fewer shared shingles
-    than required are out. Of what is left, the classes in a merged list are first compared with
+    ``shared`` has ``class, token``, ``sizes`` has ``class, n``. The shingles of a class travel as
+    one array. Texts with fewer shared shingles than required are out. Of what is left, the classes in a merged list are first compared with
     one of them, the one whose shingles are shared most; what that connects needs no comparison
     any more. This is repeated with other members while unconnected pairs would be many and become
     fewer. In the end all pairs that no link connects are compared, if sizes, shared shingles and
     the list's place allow the overlap.
     """
-    counts = shared.groupBy("class").agg(F.count("*").alias("m"))
-    enough = counts.join(sizes, "class").filter(F.col("m") >= _required("n")).select("class")
-    first = save(shared.join(enough, "class", "left_semi").distinct(), "jaccard-shared")
-    lengths = first.groupBy("token").agg(F.count("*").alias("length")).filter("length > 1")
-    listed = first.join(lengths, "token")
-    counts = listed.groupBy("class").agg(F.count("*").alias("m"))
-    enough = counts.join(sizes, "class").filter(F.col("m") >= _required("n"))
-    listed = save(
-        listed.join(enough, "class").select("class", "token", "length", "n", "m"), "jaccard-lists"
-    )
-    lists = save(
-        listed.groupBy("class", "n").agg(F.sort_array(F.collect_list("token")).alias("tokens")),
-        "jaccard-sets",
+    sets = shared.groupBy("class").agg(F.collect_set("token").alias("tokens")).join(sizes, "class")
+    sets = save(sets.filter(F.size("tokens") >= _required("n")), "jaccard-shared")
+    entries = sets.select("class", F.explode("tokens").alias("token"))
+    lengths = entries.groupBy("token").agg(F.count("*").alias("length")).filter("length > 1")
+    listed = entries.join(lengths, "token").groupBy("class").agg(
+        F.sort_array(F.collect_list(F.struct("length", "token"))).alias("by_length")
     )
-    place = F.row_number().over(Window.partitionBy("class").orderBy("length", "token"))
-    short = listed.withColumn("place", place).filter(
-        F.col("place") <= F.col("m") - _required("n") + 1
+    listed = listed.join(sizes, "class").withColumn("m", F.size("by_length").cast("long"))
+    listed = listed.filter(F.col("m") >= _required("n"))
+    merged = (F.col("m") - _required("n") + 1).cast("int")
+    listed = save(
+        listed.select(
+            "class",
+            "n",
+            "m",
+            F.sort_array("by_length.token").alias("tokens"),
+            F.slice("by_length.token", F.lit(1), merged).alias("merged"),
+        ),
+        "jaccard-lists",
     )
+    lists = listed.select("class", "n", "tokens")
+    short = listed.select("class", "n", "m", F.posexplode("merged").alias("place", "token"))
+    short = short.withColumn("place", F.col("place") + 1)
     own = (F.col("n") - F.col("m")) / F.col("n")
     short = save(
         short.select("token", "class", *_KNOWN, own.alias("own"), F.col("class").alias("label")),
