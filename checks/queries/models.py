@@ -1,10 +1,9 @@
 """Classifiers trained and applied on the executors."""
 
-import zlib
-
 import numpy as np
 from pyspark.sql import functions as F
 
+from checks import sql as q
 from checks.queries.jobs import baseline_of
 from checks.registry import query
 from checks.views import LABELS, PROBS
@@ -35,12 +34,43 @@ def _checked(scored, probs):
     )
 
 
-@query("l3_train_report")
+_THE, _DE = " the ", " de "
+_BY_TEXT_SQL = f"""CASE WHEN contains(lower(text), '{_THE}') THEN 'positive'
+    WHEN contains(lower(text), '{_DE}') THEN 'negative' ELSE 'neutral' END"""
+
+
+def _marked(v):
+    """Posts with a sentiment that is a function of the text, so that it can be learned."""
+    low = F.lower("text")
+    label = (
+        F.when(F.contains(low, F.lit(_THE)), "positive")
+        .when(F.contains(low, F.lit(_DE)), "negative")
+        .otherwise("neutral")
+    )
+    return v.posts.select("id", "text", label.alias("sentiment"))
+
+
+def _learned(report):
+    """Whether the accuracy on held-out rows is above the share of the largest class."""
+    largest = F.max(F.when(F.col("label").isin(LABELS), F.col("support")))
+    whole = F.col("label") == "accuracy"
+    accuracy, rows = (F.max(F.when(whole, F.col(c))) for c in ("precision", "support"))
+    return report.agg(accuracy > largest / rows).scalar()
+
+
+@query(
+    "l3_train_report",
+    f"SELECT {_BY_TEXT_SQL} AS sentiment, count(*) AS rows, true AS learned FROM posts GROUP BY 1",
+    "posts",
+)
 def l3(v):
-    train, evaluation = split_by_hash(baseline_of(v), "id")
-    model = train_text_classifier(train, "text_clean", "sentiment", LABELS)
-    scored = with_uncertainty(score(evaluation, model, "text_clean", PROBS), PROBS, LABELS)
-    return classification_report(scored, "sentiment", "predicted_sentiment", LABELS)
+    marked = _marked(v)
+    train, evaluation = split_by_hash(marked, "id")
+    model = train_text_classifier(train, "text", "sentiment", LABELS)
+    scored = with_uncertainty(score(evaluation, model, "text", PROBS), PROBS, LABELS)
+    report = classification_report(scored, "sentiment", "predicted_sentiment", LABELS)
+    counts = marked.groupBy("sentiment").agg(F.count(F.lit(1)).alias("rows"))
+    return counts.withColumn("learned", _learned(report))
 
 
 @query("l4_score", _SCORED_SQL, "posts")
@@ -51,28 +81,51 @@ def l4(v):
     return _checked(with_uncertainty(score(posts, model, "text_clean", PROBS), PROBS, LABELS), PROBS)
 
 
-@query("l4_score_with_python", _SCORED_SQL, "posts")
+_EXPS = ["exp(x)", "exp(1 - x)", "exp(0.5::DOUBLE)"]
+
+
+@query(
+    "l4_score_with_python",
+    f"""SELECT id, {', '.join(
+        f"{q.r(f'{e} / ({" + ".join(_EXPS)})')} AS {p}" for e, p in zip(_EXPS, PROBS, strict=True)
+    )} FROM (SELECT id, coalesce(length(text), 0) % 1000 / 1000::DOUBLE AS x FROM posts)""",
+    "posts",
+)
 def l4_python(v):
     def load():
-        """Stand-in for a Python model: logits from a checksum of the text."""
+        """Stand-in for a Python model: logits from the length of the text."""
 
         def predict(texts):
-            sums = np.array([zlib.crc32(t.encode("utf-8")) % 1000 for t in texts], dtype=float)
-            return np.stack([sums / 1000, 1 - sums / 1000, np.full(len(texts), 0.5)], axis=1)
+            x = np.array([len(t) % 1000 for t in texts], dtype=float) / 1000
+            return np.stack([x, 1 - x, np.full(len(texts), 0.5)], axis=1)
 
         return predict
 
-    scored = score_with_python(v.posts, load, "text", PROBS)
-    return _checked(with_uncertainty(scored, PROBS, LABELS), PROBS)
+    return score_with_python(v.posts, load, "text", PROBS).select("id", *PROBS)
 
 
-@query("l7_irony_model")
+@query(
+    "l7_irony_model",
+    f"""SELECT count(*) AS rows, count(DISTINCT id) AS ids,
+          count(*) FILTER (contains(lower(text), '{_THE}')) AS ironic, true AS sure, true AS learned
+        FROM posts""",
+    "posts",
+)
 def l7_model(v):
     classes = ["plain", "ironic"]
-    marked = baseline_of(v).withColumn(
-        "irony", F.when(F.col("sentiment") == "negative", "ironic").otherwise("plain")
+    ironic = F.contains(F.lower("text"), F.lit(_THE))
+    marked = v.posts.withColumn("irony", F.when(ironic, "ironic").otherwise("plain"))
+    train, _ = split_by_hash(marked, "id")
+    model = train_text_classifier(train, "text", "irony", classes)
+    scored = irony_predictions(score(marked, model, "text", ["p0", "p1"]), "id", ["p0", "p1"])
+    truth = marked.select(F.col("id").cast("string").alias("id"), ironic.cast("int").alias("truth"))
+    rows, positive = F.count(F.lit(1)), F.sum("truth")
+    held_out = split_by_hash(scored.join(truth, "id"), "id")[1].agg(
+        (F.count_if(F.col("truth") == F.col("sarcasm_label")) > F.greatest(positive, rows - positive))
     )
-    model = train_text_classifier(marked, "text_clean", "irony", classes)
-    posts = v.posts.withColumn("text_clean", clean_text("text"))
-    scored = score(posts, model, "text_clean", ["p0", "p1"])
-    return irony_predictions(scored, "id", ["p0", "p1"])
+    return scored.join(truth, "id").agg(
+        rows.alias("rows"),
+        F.count_distinct("id").alias("ids"),
+        positive.alias("ironic"),
+        F.every(F.col("sarcasm_confidence").between(0.5, 1)).alias("sure"),
+    ).withColumn("learned", held_out.scalar())
