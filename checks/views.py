@@ -45,8 +45,13 @@ class Views:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}.parquet"
-        return read_stage(self.spark, path, spread=name in ("documents", "pages"))
+        """A given table. The text tables may be one file with one row group, which one task reads;
+        those are dealt to all cores."""
+        df = read_stage(self.spark, f"{self.folder}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if name in ("documents", "pages") and df.rdd.getNumPartitions() <= cores:
+            df = df.repartition(cores)
+        return df
 
     @cached_property
     def posts(self) -> DataFrame:

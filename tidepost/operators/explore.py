@@ -26,7 +26,9 @@ from tidepost.operators.counts import (
     median_of_counts,
     with_running_total,
 )
+from tidepost.operators.lookup import BROADCAST_BYTES, measured_bytes
 from tidepost.operators.shape import compute_once, rows_of
+from tidepost.session import materialize
 
 
 def _rows() -> Column:
@@ -81,7 +83,10 @@ def _posts_per_user(df: DataFrame, user: str) -> DataFrame:
 
 def user_activity(df: DataFrame, user: str) -> DataFrame:
     """One row: posts, users, mean, median and maximum per user, users above 50 and 100 posts."""
-    hist = _posts_per_user(df, user)
+    return _activity(_posts_per_user(df, user))
+
+
+def _activity(hist: DataFrame) -> DataFrame:
     hist = hist.withColumn("_users", F.when(F.col("known"), F.col("keys")))
     return with_running_total(hist, "posts", "_users").agg(
         F.sum(F.col("posts") * F.col("keys")).alias("posts"),
@@ -103,7 +108,10 @@ def top_share(df: DataFrame, user: str, fraction: float = 0.01) -> DataFrame:
     The users are never ranked: the table of counts is walked from the top, and of the count at
     the border only as many users are taken as are still missing.
     """
-    hist = _posts_per_user(df, user)
+    return _top_share(_posts_per_user(df, user), fraction)
+
+
+def _top_share(hist: DataFrame, fraction: float = 0.01) -> DataFrame:
     known = F.when(F.col("known"), F.col("keys")).otherwise(0)
     from_top = Window.orderBy(F.desc("posts"), F.desc("known"))
     before = F.coalesce(
@@ -374,6 +382,10 @@ def interaction_distribution(df: DataFrame) -> DataFrame:
 # Repeated texts
 
 
+def _digest(text: Column | str) -> Column:
+    return F.sha2(text, 256)
+
+
 def _long_texts(df: DataFrame, text: str, author: str, min_words: int) -> DataFrame:
     rows = df.select(F.col(text).alias("text"), F.col(author).alias("author"))
     norm = compute_once(rows, norm_text=normalize_for_dup("text")).drop("text")
@@ -389,15 +401,28 @@ def repeated_texts(
 ) -> DataFrame:
     """Groups of equal normalised texts: size, different authors, coordinated flag.
 
-    Distinct authors are merged per text and author first, so a text that went viral is spread
-    over its authors and its group reaches one task as counts only.
+    Texts are grouped by their digest. Distinct authors are merged per digest and author first,
+    so a text that went viral is spread over its authors and its group reaches one task as counts
+    only. The groups are written once, while the frame is built; a second pass fetches the texts of
+    those that have more than one copy.
     """
-    return (
-        _long_texts(df, text, author, min_words)
-        .groupBy("norm_text")
+    long = _long_texts(df, text, author, min_words).withColumn("_digest", _digest("norm_text"))
+    groups = materialize(
+        long.groupBy("_digest")
         .agg(_rows().alias("copies"), F.count_distinct("author").alias("authors"))
-        .filter(F.col("copies") > 1)
-        .withColumn("coordinated", F.col("authors") >= authors)
+        .filter(F.col("copies") > 1),
+        "repeated",
+    )
+    known = groups.select("_digest")
+    if measured_bytes(known) <= BROADCAST_BYTES:
+        known = F.broadcast(known)
+    texts = (
+        long.join(known, "_digest", "left_semi")
+        .groupBy("_digest")
+        .agg(F.first("norm_text").alias("norm_text"))
+    )
+    return groups.join(texts, "_digest").select(
+        "norm_text", "copies", "authors", (F.col("authors") >= authors).alias("coordinated")
     )
 
 
@@ -418,11 +443,16 @@ def repeated_totals(
     norm = compute_once(df.select(F.col(text).alias("text")), norm_text=normalize_for_dup("text"))
     norm_text = F.col("norm_text")
     sizes = (
-        norm.select(F.when(word_count(norm_text) >= min_words, norm_text).alias("norm_text"))
-        .groupBy("norm_text")
+        norm.select(F.when(word_count(norm_text) >= min_words, _digest(norm_text)).alias("digest"))
+        .groupBy("digest")
         .agg(_rows().alias("copies"))
     )
-    long = F.col("norm_text").isNotNull()
+    return _repeated(sizes)
+
+
+def _repeated(sizes: DataFrame) -> DataFrame:
+    """The totals from ``digest`` (null for short texts) and ``copies``."""
+    long = F.col("digest").isNotNull()
     repeated = long & (F.col("copies") > 1)
     return sizes.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("posts"),
@@ -440,6 +470,10 @@ def text_statistics(df: DataFrame, text: str, short: int = fixed.MIN_TOKENS) ->
     sizes = df.groupBy(word_count(text).alias("words")).agg(
         _rows().alias("texts"), F.sum(text_length(text).cast("bigint")).alias("chars")
     )
+    return _text_statistics(sizes, short)
+
+
+def _text_statistics(sizes: DataFrame, short: int = fixed.MIN_TOKENS) -> DataFrame:
     return with_running_total(sizes, "words", "texts").agg(
         F.sum("texts").alias("texts"),
         (F.sum("chars") / F.sum("texts")).alias("mean_length"),
@@ -527,32 +561,61 @@ def findings(
     reply: Column,
     quote: Column,
 ) -> DataFrame:
-    """The main figures of the exploration as one row, put together from scalar subqueries."""
+    """The main figures of the exploration as one row, put together from scalar subqueries.
+
+    Posts are read twice: once for a narrow table of counts by text digest, language and number of
+    words, and once for how many users have each number of posts. Both are written while the frame
+    is built.
+    """
 
     def struct_of(one_row: DataFrame) -> Column:
         return one_row.select(F.struct(*one_row.columns)).scalar()
 
-    kinds = with_interactions(df, reply, quote)
-    base = kinds.agg(
-        _rows().alias("posts"),
-        F.to_date(F.min(ts)).alias("first_date"),
-        F.to_date(F.max(ts)).alias("last_date"),
-        F.timestamp_diff("DAY", F.min(ts), F.max(ts)).alias("days"),
-        *[F.count_if(F.col(c)).alias(f"_{k}") for k, c in _KINDS.items()],
+    rows = with_interactions(df, reply, quote).select(
+        F.col(ts).alias("ts"),
+        F.col(lang).alias("lang"),
+        F.col(text).alias("text"),
+        *[F.col(c).alias(f"_{k}") for k, c in _KINDS.items()],
     )
-    known = df.filter(F.col(lang).isNotNull())
-    languages = distribution(known, [lang], share=True, few_values=True).limit(1)
+    norm = compute_once(rows, norm_text=normalize_for_dup("text"))
+    long = word_count("norm_text") >= fixed.MIN_REPEATED_WORDS
+    facts = (
+        norm.withColumn("digest", F.when(long, _digest("norm_text")))
+        .groupBy("digest", "lang", word_count("text").alias("words"))
+        .agg(
+            _rows().alias("n"),
+            F.sum(text_length("text").cast("bigint")).alias("chars"),
+            F.min("ts").alias("first"),
+            F.max("ts").alias("last"),
+            *[F.count_if(F.col(f"_{k}")).alias(f"_{k}") for k in _KINDS],
+        )
+    )
+    facts = materialize(facts, "findings")
+    posts = F.sum("n")
+    base = facts.agg(
+        F.coalesce(posts, F.lit(0)).alias("posts"),
+        F.to_date(F.min("first")).alias("first_date"),
+        F.to_date(F.max("last")).alias("last_date"),
+        F.timestamp_diff("DAY", F.min("first"), F.max("last")).alias("days"),
+        *[F.coalesce(F.sum(f"_{k}"), F.lit(0)).alias(f"_{k}") for k in _KINDS],
+    )
+    by_digest = facts.groupBy("digest").agg(posts.alias("copies"))
+    by_words = facts.groupBy("words").agg(posts.alias("texts"), F.sum("chars").alias("chars"))
+    by_lang = facts.filter(F.col("lang").isNotNull()).groupBy("lang").agg(posts.alias("n"))
+    all_known = F.sum("n").over(Window.partitionBy())  # a row for each language
+    languages = by_lang.withColumn("percent", F.col("n") / all_known * 100)
+    per_user = materialize(_posts_per_user(df, user), "posts-per-user")
     return base.withColumns(
         {
-            "_users": struct_of(user_activity(df, user).select("users", "users_over_100")),
-            "_top": struct_of(top_share(df, user).select("top_users", "top_pct")),
+            "_users": struct_of(_activity(per_user).select("users", "users_over_100")),
+            "_top": struct_of(_top_share(per_user).select("top_users", "top_pct")),
             "_repeated": struct_of(
-                repeated_totals(df, text, user).select(
-                    "repeated_texts", "repeated_posts", "repeated_pct"
-                )
+                _repeated(by_digest).select("repeated_texts", "repeated_posts", "repeated_pct")
+            ),
+            "_text": struct_of(_text_statistics(by_words)),
+            "_lang": struct_of(
+                languages.orderBy(F.desc("n"), "lang").limit(1).select("lang", "percent")
             ),
-            "_text": struct_of(text_statistics(df, text)),
-            "_lang": struct_of(languages.select(lang, "percent")),
         }
     ).select(
         "posts",
@@ -570,6 +633,6 @@ def findings(
         F.col("_text.mean_length").alias("mean_length"),
         F.col("_text.median_words").alias("median_words"),
         F.col("_text.short_texts").alias("short_texts"),
-        F.col(f"_lang.{lang}").alias("main_lang"),
+        F.col("_lang.lang").alias("main_lang"),
         F.col("_lang.percent").alias("main_lang_pct"),
     )

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidepost.functions.text import strip
 
@@ -34,8 +35,9 @@ def _spread(
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides with the additional join columns, and all join columns."""
     row = left.columns
-    left = left.withColumn("_hash", F.when(F.col(on).isNull(), F.hash(*row)).otherwise(F.hash(on)))
-    right = right.withColumn("_hash", F.hash(on))
+    key = F.hash(F.col(on).cast("string"))  # equal for numbers of different width
+    left = left.withColumn("_hash", F.when(F.col(on).isNull(), F.hash(*row)).otherwise(key))
+    right = right.withColumn("_hash", key)
     if salts <= 1:
         return left, right, [on, "_hash"]
     left = left.withColumn("_salt", F.pmod(F.xxhash64(*row), F.lit(salts)).cast("int"))
@@ -46,10 +48,18 @@ def _spread(
 def exclude_matches(
     df: DataFrame, known: DataFrame, on: str, known_column: str | None = None, salts: int = 1
 ) -> DataFrame:
-    """Rows whose ``on`` value does not occur in ``known``; null never matches, so it stays."""
+    """Rows whose ``on`` value does not occur in ``known``; null never matches, so it stays.
+
+    Strings are compared by their digest, so a text is not a shuffle key and none is sent from
+    ``known``. Repeated keys of ``known`` do no harm to an anti join and are left in.
+    """
     source = known_column or on
-    keys = known.select(F.col(source).alias(on)).filter(F.col(on).isNotNull()).distinct()
-    left, right, columns = _spread(df, keys, on, salts)
+    as_text = df.schema[on].dataType == known.schema[source].dataType == StringType()
+    left_key, right_key = (
+        F.sha2(F.col(c), 256) if as_text else F.col(c) for c in (on, source)
+    )
+    keys = known.select(right_key.alias("_key")).filter(F.col("_key").isNotNull())
+    left, right, columns = _spread(df.withColumn("_key", left_key), keys, "_key", salts)
     return left.join(right, columns, "left_anti").select(*df.columns)
 
 

@@ -77,32 +77,28 @@ def load_lookup(spark: SparkSession, path: str, optional: bool = False) -> dict[
 
 
 def read_stage(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, spread: bool = False
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Read a stage table.
-
-    ``spread`` is for small tables that costly expressions follow: a file with one row group is
-    read by one task however it is split, so a scan with no more splits than cores is spread over
-    the cores. Larger tables are left as they are.
-    """
+    """Read a stage table."""
     df = spark.read.parquet(path)
-    df = df if columns is None else df.select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() <= cores:
-        df = df.repartition(cores)
-    return df
+    return df if columns is None else df.select(*columns)
 
 
-def write_stage(df: DataFrame, path: str, partitions: int | None = None) -> int:
+def write_stage(
+    df: DataFrame, path: str, partitions: int | None = None, rebalance: bool = False
+) -> int:
     """Replace a stage table and return the number of rows written.
 
-    Without a number of partitions adaptive execution sizes the files. The rows are counted
-    while they are written.
+    Rows are written where they are and counted meanwhile. ``partitions`` or ``rebalance`` (files
+    sized by adaptive execution) shuffle the table first.
     """
     watch = Observation("write_stage")
     counted = df.observe(watch, F.count(F.lit(1)).alias("rows"))
-    spread = counted.hint("rebalance") if partitions is None else counted.repartition(partitions)
-    spread.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    if partitions is not None:
+        counted = counted.repartition(partitions)
+    elif rebalance:
+        counted = counted.hint("rebalance")
+    counted.write.mode("overwrite").option("compression", "snappy").parquet(path)
     return watch.get["rows"]
 
 
