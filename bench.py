@@ -70,8 +70,6 @@ def main() -> None:
         spark__sql__shuffle__partitions=cpus if cpus.isdigit() else "8",
         spark__sql__files__openCostInBytes="1048576",
         spark__ui__enabled="false",
-        spark__sql__dataFrameQueryContext__enabled="false",
-        spark__python__sql__dataFrameDebugging__enabled="false",
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("OFF")

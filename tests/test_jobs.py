@@ -1,17 +1,20 @@
 """Sources, sinks and whole jobs."""
 
 import json
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from checks.queries import QUERIES
 from checks.views import LABELS, PROBS
+from tidepost import jobs
 from tidepost.operators import classify
 from tidepost.operators.sampling import split_by_hash
 from tidepost.plans import active, export, ingest, labelling, merge
-from tidepost.session import scratch_dir, scratch_path
+from tidepost.session import scratch_dir, scratch_path, scratch_scope
 from tidepost.sources import files
 
 GOOD, BAD = "great lovely happy sunny win", "awful broken sad angry fail"
@@ -219,6 +222,32 @@ def test_candidate_limits(pool, model):
         active.select_candidates(scored, 10, 10, ["id"], strict=True)
 
 
+def test_candidates_are_ranked_without_texts(spark, pool, model):
+    scored = classify.with_uncertainty(
+        classify.score(pool, model, "text", PROBS), PROBS, LABELS
+    )
+    scratch = Path(scratch_dir(spark))
+    before = set(scratch.iterdir())
+    with scratch_scope(spark):
+        narrow = active.select_candidates(scored, 0, 10, ["id"], posts=pool)
+        (written,) = set(scratch.iterdir()) - before
+        assert "text" not in spark.read.parquet(str(written)).columns
+        whole = active.select_candidates(scored, 0, 10, ["id"])
+        assert narrow.columns == whole.columns
+        assert narrow.collect() == whole.collect()
+    assert set(scratch.iterdir()) == before
+
+
+@pytest.mark.parametrize("name", ["l3_train_report", "l8_select_candidates", "l10_assemble"])
+def test_scratch_tables_are_removed(spark, name):
+    scratch = Path(scratch_dir(spark))
+    before = set(scratch.iterdir())
+    with scratch_scope(spark):
+        assert QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+        assert set(scratch.iterdir()) > before
+    assert set(scratch.iterdir()) == before
+
+
 def test_merge(frame):
     scored = frame([(1, "positive", "a"), (2, "neutral", "b"), (3, "negative", "c"),
                     (4, "positive", "d"), (None, "positive", "e"), (6, None, "f")],
@@ -249,28 +278,26 @@ def test_from_raw_files_to_the_result_table(spark, tmp_path):
                                       "isReply string")
     again = raw.filter("cast(id as int) < 30").drop("likeCount")
     sources = [files.export_csv(raw, path("a")), files.export_csv(again, path("b"))]
-    read = files.read_posts_csv(spark, sources)
-    cleaned = ingest.clean_posts(read, ["rain"], {"no5": "five"}, {"isReply": "is_reply"},
-                                 order=[F.col("likeCount").asc_nulls_last(), "source_file"])
-    assert files.write_stage(cleaned, path("cleaned")) == 150
+    (tmp_path / "words.json").write_text('{"no5": "five"}')
+    assert jobs.clean(spark, sources, path("cleaned"), ["rain"], path("words.json"),
+                      flags={"isReply": "is_reply"},
+                      order=["likeCount", "source_file"]) == {"posts": 150}
     cleaned = files.read_stage(spark, path("cleaned"))
     assert cleaned.filter("likeCount is null").count() == 0
+    assert cleaned.filter("text_clean like '%five%'").count() == 1
 
     labels = [(r[0], r[1], r[2], "Positive" if int(r[0]) % 2 == 0 else "negative")
               for r in rows[:60]]
     marked = spark.createDataFrame(labels, "id string, url string, text string, sentiment string")
-    marked = files.read_labelled_csv(spark, [files.export_csv(marked, path("labelled"))])
-    baseline = labelling.labelled_baseline(marked, LABELS, ["id"])
-    pool = labelling.unlabelled_pool(cleaned, baseline, ["id"])
-    assert pool.count() == 90
-    train, _ = split_by_hash(baseline, "id")
-    model = classify.train_text_classifier(train, "text_clean", "sentiment", LABELS, 1024)
-    scored = classify.with_uncertainty(
-        classify.score(pool, model, "text_clean", PROBS), PROBS, LABELS
-    )
-    chosen = active.select_candidates(scored, baseline.count(), 100, ["id"])
-    whole = active.assemble(active.baseline_as_scored(baseline, LABELS, PROBS), chosen)
-    assert files.write_stage(whole, path("learning")) == 100
+    files.export_csv(marked, path("labelled"))
+    assert jobs.separate(spark, path("cleaned"), [path("labelled")], path("baseline"),
+                         path("pool"), LABELS) == {"baseline": 60, "pool": 90}
+    scratch = Path(scratch_dir(spark))
+    before = set(scratch.iterdir())
+    jobs.train(spark, path("baseline"), path("model"), path("report"), LABELS, PROBS, features=1024)
+    assert jobs.select(spark, path("baseline"), path("pool"), path("model"), path("learning"), 100,
+                       LABELS, PROBS) == {"selected": 100}
+    assert set(scratch.iterdir()) == before
     whole = files.read_stage(spark, path("learning"))
 
     irony = classify.irony_predictions(
@@ -280,8 +307,12 @@ def test_from_raw_files_to_the_result_table(spark, tmp_path):
         "id",
         ["p0", "p1"],
     )
-    final = merge.merge_predictions(whole, irony, ["positive", "neutral"], "negative")
-    assert export.export_results(final, path("results"), "parquet", path("csv")) == 100
+    files.write_stage(irony, path("irony"))
+    assert jobs.resolve(spark, path("learning"), path("irony"), path("final"),
+                        ["positive", "neutral"], "negative") == {"posts": 100}
+    assert jobs.load(spark, path("final"), path("results"), "parquet", path("csv")) == {
+        "results": 100
+    }
     results = spark.read.parquet(path("results"))
     by_id = {r["tweet_id"]: r for r in results.collect()}
     assert by_id["2"]["sentiment_label"] == "positive"

@@ -20,15 +20,22 @@ def select_candidates(
     source: str = "al_prediction",
     strict: bool = False,
     written: bool = False,
+    posts: DataFrame | None = None,
+    key: str = "id",
 ) -> DataFrame:
     """The least certain rows of a scored pool that fill the labelled rows up to ``target``.
 
     None are needed when the baseline is large enough. An empty pool is an error, and with
     ``strict`` also one that is too small. The prediction becomes a weak label to be reviewed.
-    The ranking reads the scores more than once, so they are written first unless ``written``
-    says that the pool is a table already.
+    This runs jobs while the frame is built: the ranking reads the scores more than once, so they
+    are written first unless ``written`` says that the pool is a table already. With ``posts``, the
+    table that was scored, only the scores and ``key`` (unique there) are written and ranked, and
+    the other columns are fetched for the chosen rows.
     """
     needed = max(0, target - labelled_rows)
+    columns = scored.columns
+    if posts is not None:
+        scored = scored.select(key, *[c for c in columns if c not in posts.columns])
     if needed and not written:
         scored = materialize(scored, "scored-pool")
     if needed and scored.isEmpty():
@@ -43,6 +50,9 @@ def select_candidates(
         if needed
         else scored.filter(F.lit(False))
     )
+    if posts is not None:
+        order = [F.asc_nulls_last("uncertainty_margin"), F.desc_nulls_last("uncertainty_entropy")]
+        ranked = ranked.join(posts, key).select(*columns).orderBy(*order, *ties)
     return ranked.withColumns(
         {
             "sentiment": F.col("predicted_sentiment"),

@@ -4,13 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths given out inside the innermost ``scratch_scope``.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
 
 def build_session(app_name: str = "tidepost", master: str | None = None, **conf: str) -> SparkSession:
     """Session with UTC time and adaptive execution.
 
+    Arrow batches are limited by bytes, so that long texts don't fill a Python worker, and plans
+    are built without recording the Python line of each expression.
+
     ``master`` stays unset on a cluster (spark-submit names it). Dots in config
     names are given as ``__``: ``spark__sql__shuffle__partitions="64"``.
     """
@@ -20,6 +29,9 @@ def build_session(app_name: str = "tidepost", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -46,7 +58,28 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the scratch folder."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if (given := _SCOPE.get()) is not None:
+        given.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables of a job when the block ends.
+
+    Results that read them must be written or collected inside the block.
+    """
+    given: list[str] = []
+    token = _SCOPE.set(given)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in given:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
