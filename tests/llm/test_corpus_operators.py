@@ -461,6 +461,34 @@ def test_repeated_passages(frame, awkward, empty):
     assert sentences.repeated_passages(empty).count() == 0
 
 
+def test_passages_that_begin_within_a_sentence(frame):
+    rng = random.Random(7)
+    texts, planted = {}, {}
+    for g in range(30):
+        passage = words(51 + g, 5000 + g)
+        if g % 3 == 1:
+            passage[10 + g] += "."
+        if g % 3 == 2:
+            passage[7] += "."
+            passage[-9] += "!"
+        for d in (2 * g, 2 * g + 1):
+            before, after = words(rng.randint(1, 40), 6000 + d), words(rng.randint(0, 40), 7000 + d)
+            texts[d] = " ".join(before + passage + after)
+            start = len(" ".join(before)) + 1
+            planted[d] = start, start + len(" ".join(passage))
+    docs = frame(list(texts.items()), "doc_id bigint, text string")
+    got = defaultdict(list)
+    for r in sentences.repeated_passages(docs).collect():
+        assert r.kept_in == [r.doc_id - 1]
+        got[r.doc_id].append((r.start, r.stop))
+    assert sorted(got) == list(range(1, 60, 2))
+    for d, ((start, stop),) in got.items():
+        a, b = planted[d]
+        assert a <= start < stop <= b
+        head, body, tail = (len(t.split()) for t in (texts[d][a:start], texts[d][start:stop], texts[d][stop:b]))
+        assert head <= 16 and body >= sentences.WORDS and tail <= 15
+
+
 # packing
 
 

@@ -1,8 +1,11 @@
 """Substrings that repeat across documents: runs of consecutive sentences, hashed and joined.
 
-A sentence ends with ``.``, ``!`` or ``?`` at the end of a word, at a line break, or after
-``LONGEST`` words. A span is the shortest run of at least ``SENTENCES`` sentences and ``WORDS``
-words from a sentence on.
+A sentence ends with ``.``, ``!`` or ``?`` at the end of a word or at a line break. One of more than
+``LONGEST`` words is cut where the hash of the last ``CONTEXT`` words is the least of a window, so
+that the same words are cut alike wherever their sentence began; no part is longer than ``LONGEST``.
+A span is the shortest run of at least ``SENTENCES`` sentences and ``WORDS`` words from a sentence
+on, or back from a sentence's end. So 51 words that two texts share have a common span, wherever
+they begin: at most 16 words before the first common cut and 15 after the last one are not in it.
 """
 
 from __future__ import annotations
@@ -18,10 +21,25 @@ from tidepost.llm.common import bounded_batches, save
 from tidepost.llm.spans import Words, mixed, powers, slices, utf8
 
 LONGEST, SENTENCES, WORDS = 16, 2, 20
+CONTEXT = 3
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[[0x21, 0x2E, 0x3F]] = True
 
 
+def least_places(hashes: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """Places of the least hash of every window of ``size`` adjoining places; the last of equals."""
+    count = len(places) - size + 1
+    if count <= 0:
+        return places[:0]
+    starts = np.flatnonzero(places[size - 1 :] - places[:count] == size - 1)
+    at, best = starts.copy(), hashes[starts]
+    for i in range(1, size):
+        other = hashes[starts + i]
+        lower = other <= best
+        at[lower], best[lower] = starts[lower] + i, other[lower]
+    return places[at]
+
+
 class Sentences:
     """Sentences of all texts: first and last word, text, hash, and place in characters."""
 
@@ -35,16 +53,21 @@ class Sentences:
         if count > 1:
             gap = breaks[words.start[1:]] > breaks[words.end[:-1]]
             first[1:] = _ENDS[data[words.end[:-1] - 1]] | gap | np.diff(words.doc).astype(bool)
-        place = np.arange(count)
-        since = place - np.maximum.accumulate(np.where(first, place, 0))
-        first |= since % longest == 0
-        self.begin = np.flatnonzero(first)
-        self.stop = np.append(self.begin[1:], count) if count else self.begin
-        self.doc = words.doc[self.begin]
         up, down = powers(count + 1)
         sums = np.zeros(count + 1, np.uint64)
         np.cumsum(words.hash * up[:-1], out=sums[1:])
         self.sums, self.down = sums, down
+        begin = np.flatnonzero(first)
+        sizes = np.diff(np.append(begin, count))
+        since = np.arange(count) - np.repeat(begin, sizes)
+        size = np.repeat(sizes, sizes)
+        # A cut before a word, with its context within the sentence.
+        places = np.flatnonzero((size > longest) & (since >= CONTEXT))
+        context = mixed((sums[places] - sums[places - CONTEXT]) * down[places - CONTEXT])
+        first[least_places(context, places, longest - CONTEXT + 1)] = True
+        self.begin = np.flatnonzero(first)
+        self.stop = np.append(self.begin[1:], count) if count else self.begin
+        self.doc = words.doc[self.begin]
         chars = np.zeros(len(data) + 1, np.int64)
         np.cumsum((data & 0xC0) != 0x80, out=chars[1:])
         base = chars[offsets[self.doc]] if len(self.doc) else self.doc
@@ -55,9 +78,14 @@ class Sentences:
     def spans(self, least: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First sentence, last sentence and hash of every span."""
         count = len(self.begin)
-        first = np.arange(count)
-        last = np.maximum(np.searchsorted(self.stop, self.begin + words), first + least - 1)
-        whole = last < count
+        one = np.arange(count)
+        last = np.maximum(np.searchsorted(self.stop, self.begin + words), one + least - 1)
+        back = np.searchsorted(self.begin, self.stop - words, side="right") - 1
+        back = np.minimum(back, one - least + 1)
+        # A run back that is also the shortest one from its start is listed once.
+        again = (back >= 0) & (last[np.maximum(back, 0)] == one)
+        first, last = np.append(one, back[~again]), np.append(last, one[~again])
+        whole = (first >= 0) & (last < count)
         first, last = first[whole], last[whole]
         same = self.doc[first] == self.doc[last]
         first, last = first[same], last[same]
