@@ -489,6 +489,31 @@ def test_passages_that_begin_within_a_sentence(frame):
         assert head <= 16 and body >= sentences.WORDS and tail <= 15
 
 
+def test_passages_of_null_and_repeated_ids(frame):
+    a, b, c = (". ".join(" ".join(words(9, 100 * n + s)) for s in range(6)) + "." for n in (81, 82, 83))
+    own = [" ".join(words(30, 9000 + n)) + "." for n in range(9)]
+    least, most = -(2**63), 2**63 - 1
+    rows = [
+        (None, f"{own[0]}\n{own[8]}\n{a}"),
+        (None, f"{a}\n{own[1]}"),
+        (most, f"{own[2]}\n{b}"),
+        (None, f"{b}\n{own[3]}"),
+        (None, own[7]),
+        (4, f"{own[4]}\n{c}"),
+        (4, f"{c}\n{own[5]}"),
+        (least, f"{own[6]}\n{own[0]}"),
+    ]
+    docs = frame(rows, "doc_id bigint, text string")
+    passages = sentences.repeated_passages(docs)
+    got = {(r.doc_id, tuple(r.kept_in)) for r in passages.collect()}
+    assert got == {(None, (least,)), (None, (None,)), (None, (most,)), (4, (4,))}
+    left = sorted(r.text for r in sentences.without_passages(docs, passages).collect())
+    joined = "\n".join(left)
+    assert len(left) == len(rows)
+    assert all(joined.count(x) == 1 for x in (a, b, c, *own))
+    assert all(rows[i][1] in left for i in (2, 4, 7))
+
+
 # packing
 
 

@@ -109,7 +109,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query()
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return sentences.repeated_passages(table(spark, folder, "documents"))
+    return sentences.repeated_passages(table(spark, folder, "documents")).drop("text_hash")
 
 
 @_query()

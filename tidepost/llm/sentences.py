@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepost.llm.common import bounded_batches, save
@@ -22,6 +22,8 @@ from tidepost.llm.spans import Words, mixed, powers, slices, utf8
 
 LONGEST, SENTENCES, WORDS = 16, 2, 20
 CONTEXT = 3
+#: Bits of a text's hash in the key of its row.
+_BITS = 62
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[[0x21, 0x2E, 0x3F]] = True
 
@@ -94,10 +96,34 @@ class Sentences:
         return first, last, hashes
 
 
+def text_hash(text: Column | str) -> Column:
+    return F.xxhash64(text).bitwiseAND(2**_BITS - 1)
+
+
+def row_keys(doc_id: pa.Array, hashes: pa.Array) -> np.ndarray:
+    """``doc_id * 2 ** 62 + hash`` of every row as 128 bits, which decimals hold.
+
+    One number that orders rows by id, nulls last, and then by text; rows of equal id and text
+    share it.
+    """
+    doc = doc_id.fill_null(0).to_numpy(zero_copy_only=False)
+    none = doc_id.is_null().to_numpy(zero_copy_only=False)
+    out = np.empty((len(doc), 2), np.int64)
+    out[:, 0] = (doc << _BITS) | hashes.to_numpy(zero_copy_only=False)
+    out[:, 1] = np.where(none, 2 ** (_BITS - 1), doc >> (64 - _BITS))
+    return out
+
+
+def key_id(key: str) -> Column:
+    """The id in a row's key."""
+    whole = f"({key} - pmod({key}, {2**_BITS}BD)) div {2**_BITS}BD"
+    return F.expr(f"CASE WHEN {key} < {2 ** (63 + _BITS)}BD THEN {whole} END")
+
+
 def sentence_spans(docs: DataFrame, least: int, words: int) -> DataFrame:
-    """``doc_id, hash, first, last, start, stop, again``: every span of every document.
+    """``row, hash, first, last, start, stop, again``: every span of every document.
 
-    ``first`` and ``last`` number the sentences of the text, ``start`` and ``stop`` are places in
+    ``row`` is the key of the row (see ``row_keys``). ``first`` and ``last`` number the sentences of the text, ``start`` and ``stop`` are places in
     characters, ``again`` marks a span that came up before in the same text.
     """
     bounded_batches(docs.sparkSession)
@@ -106,6 +132,7 @@ def sentence_spans(docs: DataFrame, least: int, words: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 1):
                 sentences = Sentences(part.column(1))
+                keys = row_keys(part.column(0), part.column(2))
                 first, last, hashes = sentences.spans(least, words)
                 doc = sentences.doc[first]
                 begins = np.searchsorted(sentences.doc, doc)
@@ -116,7 +143,9 @@ def sentence_spans(docs: DataFrame, least: int, words: int) -> DataFrame:
                     again[order[1:]] = (d[1:] == d[:-1]) & (h[1:] == h[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0).take(pa.array(doc)),
+                        pa.Array.from_buffers(
+                            pa.decimal128(38, 0), len(doc), [None, pa.py_buffer(keys[doc].tobytes())]
+                        ),
                         pa.array(hashes.view(np.int64)),
                         pa.array((first - begins).astype(np.int32)),
                         pa.array((last - begins).astype(np.int32)),
@@ -124,72 +153,74 @@ def sentence_spans(docs: DataFrame, least: int, words: int) -> DataFrame:
                         pa.array(sentences.char_end[last].astype(np.int32)),
                         pa.array(again),
                     ],
-                    ["doc_id", "hash", "first", "last", "start", "stop", "again"],
+                    ["row", "hash", "first", "last", "start", "stop", "again"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text", text_hash("text")).mapInArrow(
         read,
-        "doc_id bigint, hash bigint, first int, last int, start int, stop int, again boolean",
+        "row decimal(38,0), hash bigint, first int, last int, start int, stop int, again boolean",
     )
 
 
 def repeated_passages(
     docs: DataFrame, least: int = SENTENCES, words: int = WORDS
 ) -> DataFrame:
-    """Passages to remove: ``doc_id, start, stop, first_sentence, last_sentence, kept_in``.
-
-    A span stays where it comes first: in the document with the smallest id, at its first place.
-    Every other occurrence is removed with all sentences it covers; adjoining and overlapping
-    spans make one passage. ``kept_in`` lists documents that keep a span of it. Null and empty
-    texts have no spans, null ids come last and count as one id, rows that repeat an id count as
-    one document (equal texts among them stay), an empty table gives no rows. A span that many
-    documents share is summed up before it is shuffled, and the join back is one that Spark can
-    split.
+    """Passages to remove: ``doc_id, start, stop, first_sentence, last_sentence, kept_in, text_hash``.
+
+    A span stays where it comes first: in the document with the smallest id (null ids last, rows
+    that repeat an id by the hash of their text), at its first place. Every other occurrence is
+    removed with all sentences it covers; adjoining and overlapping spans make one passage.
+    ``kept_in`` lists the ids of documents that keep a span of it; ``text_hash`` tells rows with
+    null or repeated ids apart. Rows that are equal in id and text count as one document, which
+    keeps its text in all of them. Null and empty texts have no spans, an empty table gives no
+    rows. A span that many documents share is summed up before it is shuffled, and the join back
+    is one that Spark can split.
     """
     spans = save(sentence_spans(docs, least, words), "sentence-spans")
-    none = F.lit(2**63 - 1)
-    spans = spans.withColumn("doc", F.coalesce("doc_id", none)).drop("doc_id")
     holders = spans.filter("NOT again").groupBy("hash").agg(
-        F.min("doc").alias("keeper"), F.max("doc").alias("other")
+        F.min("row").alias("keeper"), F.max("row").alias("other")
     )
     shared = save(holders.filter("keeper <> other").select("hash", "keeper"), "sentence-shared")
-    places = ["doc", "first", "last", "start", "stop"]
-    others = spans.join(shared, "hash").filter("doc <> keeper").select(*places, "keeper")
-    inside = spans.filter("again").select(*places, F.col("doc").alias("keeper"))
+    places = ["row", "first", "last", "start", "stop"]
+    others = spans.join(shared, "hash").filter("row <> keeper").select(*places, "keeper")
+    inside = spans.filter("again").select(*places, F.col("row").alias("keeper"))
     covered = others.unionByName(inside)
     before = (
-        Window.partitionBy("doc")
+        Window.partitionBy("row")
         .orderBy("first", "last", "keeper")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     opens = F.col("first") > F.coalesce(F.max("last").over(before), F.lit(-2)) + 1
     passage = F.sum(opens.cast("int")).over(
-        Window.partitionBy("doc").orderBy("first", "last", "keeper")
+        Window.partitionBy("row").orderBy("first", "last", "keeper")
     )
+    keeper = key_id("keeper")
+    kept = F.struct(keeper.isNull().alias("none"), keeper.alias("doc_id"))
     return (
         covered.withColumn("passage", passage)
-        .groupBy("doc", "passage")
+        .groupBy("row", "passage")
         .agg(
             F.min("start").alias("start"),
             F.max("stop").alias("stop"),
             F.min("first").alias("first_sentence"),
             F.max("last").alias("last_sentence"),
-            F.sort_array(F.collect_set("keeper")).alias("kept_in"),
+            F.sort_array(F.collect_set(kept)).alias("kept_in"),
         )
         .select(
-            F.when(F.col("doc") != none, F.col("doc")).alias("doc_id"),
+            key_id("row").alias("doc_id"),
             "start",
             "stop",
             "first_sentence",
             "last_sentence",
-            F.transform("kept_in", lambda d: F.when(d != none, d)).alias("kept_in"),
+            F.transform("kept_in", lambda d: d.doc_id).alias("kept_in"),
+            F.expr(f"pmod(row, {2**_BITS}BD)").cast("long").alias("text_hash"),
         )
     )
 
 
 def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """``docs`` with the passages cut out of ``text``; a null text stays null."""
-    cuts = passages.groupBy(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("__doc")).agg(
+    cuts = passages.groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(
         F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("__cuts")
     )
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
@@ -202,9 +233,9 @@ def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
         return F.concat(s.text, F.substring(F.col("text"), s.at + 1, F.length("text")))
 
     cleaned = F.coalesce(F.aggregate("__cuts", start, cut, rest), F.col("text"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc"))
     return (
-        docs.withColumn("__doc", F.coalesce("doc_id", F.lit(2**63 - 1)))
-        .join(cuts, "__doc", "left")
+        docs.join(cuts, same & (text_hash("text") == F.col("__hash")), "left")
         .withColumn("text", cleaned)
         .select(*docs.columns)
     )
