@@ -557,6 +557,30 @@ def test_packing_round_trip(tables, awkward, empty, spark):
     assert packing.pack_documents(empty).count() == 0
 
 
+def test_packing_splits_at_added_tokens(spark, tmp_path):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"{end} x", end, f"a  {end}  b's{end}{end}\n", f"<|{end}|> <|endoftext |>", "plain", None]
+    texts += [f"é²{end}日本語 {end[:-1]}", " ".join([*words(3000, 3), end, *words(9, 4)])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = set()
+    for d, text in enumerate(texts):
+        ids = np.array(coder.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        start = 0
+        for n in packing.cut_lengths(len(ids), packing.CAPACITY, 0.06):
+            expected.add((d, start, n, zlib.crc32(ids[start : start + n].tobytes()), len(ids)))
+            start += n
+    packed = (QUERIES["op10_packing"](spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, ""))
+    for rows in packed:
+        rows = rows.select("doc_id", "start", "length", "ids_crc32", "doc_tokens").collect()
+        assert sorted(map(tuple, rows)) == sorted(expected)
+
+
 # the pipeline
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,6 +27,8 @@ END_ID = 1
 CLASSES = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64)
 #: The vocabulary of byte_bpe_50k.json as ranks of its merges.
 RANKS = "byte_bpe_50k.tiktoken"
+#: The tokenizer itself, which lists tokens beside the vocabulary's.
+TOKENIZER = "byte_bpe_50k.json"
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 #: Words kept by a worker, and characters of the longest word kept.
 _KEPT_WORDS, _LONGEST = 200_000, 32
@@ -39,11 +42,12 @@ _QUICK = re.compile(
 class WordIds:
     """Token ids as bytes (unsigned 32-bit little-endian), by a table of words that came up.
 
-    The vocabulary merges within words only, so a text's ids are its words' ids in order.
-    Strings of special tokens are ordinary text.
+    The vocabulary merges within words only, so a text's ids are its words' ids in order. A text is
+    first split at the strings of ``added`` tokens, which stand for their ids; the leftmost
+    and longest counts. Without them such strings are ordinary text.
     """
 
-    def __init__(self, ranks: str, pattern: str):
+    def __init__(self, ranks: str, pattern: str, added: dict[str, int] | None = None):
         import regex
         import tiktoken
 
@@ -54,8 +58,21 @@ class WordIds:
         ).encode_ordinary
         self.exact = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        self.added = {t: np.array([i], dtype="<u4").tobytes() for t, i in (added or {}).items()}
+        strings = sorted(self.added, key=len, reverse=True)
+        self.split = re.compile(f"({'|'.join(map(re.escape, strings))})").split if strings else None
 
     def __call__(self, text: str) -> bytes:
+        if self.split is None:
+            return self.ordinary(text)
+        parts = self.split(text)
+        if len(parts) == 1:
+            return self.ordinary(text)
+        return b"".join(
+            self.added[part] if i % 2 else self.ordinary(part) for i, part in enumerate(parts)
+        )
+
+    def ordinary(self, text: str) -> bytes:
         words = (self.exact if _UNUSUAL.search(text) else _QUICK).findall(text)
         known = self.known
         if len(known) > _KEPT_WORDS:
@@ -101,13 +118,25 @@ def cut_lengths(tokens: int, capacity: int, slack: float, loss: int = 8) -> list
     return out
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Ids of the tokens that a tokenizer's file lists beside its vocabulary."""
+    with open(path, encoding="utf-8") as lines:
+        tokens = json.load(lines)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in tokens):
+        raise ValueError("added tokens that depend on the text around them")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 @functools.cache
-def _word_ids(folder: str | None) -> WordIds:
+def _word_ids(folder: str | None, added: bool) -> WordIds:
     """Kept by a worker from one task to the next."""
     import public_tokenizers
 
-    path = public_tokenizers.path(RANKS) if folder is None else f"{folder}/{RANKS}"
-    return WordIds(path, public_tokenizers.PATTERN)
+    def path(name: str) -> str:
+        return public_tokenizers.path(name) if folder is None else f"{folder}/{name}"
+
+    tokens = added_tokens(path(TOKENIZER)) if added else {}
+    return WordIds(path(RANKS), public_tokenizers.PATTERN, tokens)
 
 
 def token_pieces(
@@ -116,18 +145,20 @@ def token_pieces(
     slack: float = 0.06,
     keep_ids: bool = False,
     folder: str | None = None,
+    added: bool = False,
 ) -> DataFrame:
     """Pieces of every document: ``doc_id, start, length, ids_crc32, doc_tokens`` (and ``ids``).
 
     A document's ids end with ``END_ID``; null text counts as empty and is that one id. Rows with
     repeated or null ids are documents like others. ``folder`` holds the vocabulary's files; by
-    default the installed ones.
+    default the installed ones. With ``added``, strings of its added tokens are those tokens, as the
+    tokenizer reads them by default; else they are ordinary text.
     """
     bounded_batches(docs.sparkSession)
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _word_ids(folder)
+        encode = _word_ids(folder, added)
         for batch in batches:
             columns: list[list] = [[] for _ in range(6)]
             for doc_id, text in zip(
@@ -196,9 +227,11 @@ def harmonic_pack(pieces: DataFrame, capacity: int = CAPACITY, per_group: int =
     )
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    """Tokenise all documents, cut them and pack the pieces."""
-    pieces = save(token_pieces(docs, capacity, keep_ids=keep_ids), "pack-pieces")
+def pack_documents(
+    docs: DataFrame, capacity: int = CAPACITY, keep_ids: bool = False, added: bool = False
+) -> DataFrame:
+    """Tokenise all documents, cut them and pack the pieces (``added``: see ``token_pieces``)."""
+    pieces = save(token_pieces(docs, capacity, keep_ids=keep_ids, added=added), "pack-pieces")
     return harmonic_pack(pieces, capacity)
 
 

@@ -104,7 +104,7 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query()
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack_documents(table(spark, folder, "documents"))
+    return packing.pack_documents(table(spark, folder, "documents"), added=True)
 
 
 @_query()
