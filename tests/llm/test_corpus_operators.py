@@ -236,6 +236,15 @@ def test_labels_of_held_out_rows_are_not_read(frame):
     assert scores[0] == scores[1]
 
 
+def test_counts_fall_back_to_lower_voters(frame):
+    voters = ["=bad 1", "ugly~ 2", "=mean 1", "=mean 3", "=rare 3"]
+    texts = ["bad", "bad bad", "Bad bad x bad bad", "uglyx", "uglyx uglyy", "uglyx " * 5]
+    texts += ["mean", "mean mean", "mean " * 4, "rare rare", "rare " * 3]
+    docs = frame(list(enumerate(texts)), "doc_id bigint, text string")
+    fired = {r.doc_id: r.votes for r in toxicity.cast_votes(docs, voters).collect()}
+    assert [fired[i] for i in range(len(texts))] == [[0]] * 3 + [[], [1], [1], [2], [2], [3], [], [4]]
+
+
 # chat
 
 

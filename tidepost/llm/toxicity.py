@@ -134,7 +134,10 @@ def own_voters(found: list[tuple[str, int]], share: float = 0.6) -> list[str]:
 
 
 def cast_votes(docs: DataFrame, voters: list[str]) -> DataFrame:
-    """``doc_id, votes``: the numbers of the voters that fire on each whole text."""
+    """``doc_id, votes``: the numbers of the voters that fire on each whole text.
+
+    A word or stem fires the voter of the highest chosen level that its count reaches.
+    """
     bounded_batches(docs.sparkSession)
     words: dict[str, dict[int, int]] = {}
     stems: dict[int, dict[str, dict[int, int]]] = {size: {} for size in _STEMS}
@@ -146,6 +149,10 @@ def cast_votes(docs: DataFrame, voters: list[str]) -> DataFrame:
         name, often = voter.rsplit(" ", 1)
         table = words if name[0] == "=" else stems[len(name) - 1]
         table.setdefault(name[1:] if name[0] == "=" else name[:-1], {})[int(often)] = i
+    for levels in [levels for table in (words, *stems.values()) for levels in table.values()]:
+        for often in range(2, _OFTEN + 1):
+            if often not in levels and often - 1 in levels:
+                levels[often] = levels[often - 1]
     stems = {size: table for size, table in stems.items() if table}
 
     def votes(text: str) -> list[int]:
