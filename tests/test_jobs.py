@@ -238,6 +238,26 @@ def test_candidates_are_ranked_without_texts(spark, pool, model):
     assert set(scratch.iterdir()) == before
 
 
+def test_candidates_with_null_and_repeated_ids(spark):
+    rows = [(None, "a"), (None, "b"), ("x", "c"), ("x", "d"), ("x", "d"), (None, None), ("y", "e"), ("z", "f")]
+    posts = spark.createDataFrame(rows, "id string, text string")
+    margin = F.coalesce(F.ascii("text"), F.lit(90)) / 1000
+    scored = posts.withColumns(
+        {
+            "predicted_sentiment": F.lit("neutral"),
+            "uncertainty_margin": margin,
+            "uncertainty_entropy": 1 - margin,
+        }
+    )
+    ranked = [(None, None), (None, "a"), (None, "b"), ("x", "c"), ("x", "d"), ("x", "d"), ("y", "e"), ("z", "f")]
+    with scratch_scope(spark):
+        for n in range(1, 10):
+            chosen = active.select_candidates(scored, 0, n, ["id"], posts=posts)
+            got = [(r.id, r.text) for r in chosen.collect()]
+            assert got == ranked[:n], n
+        assert chosen.columns == active.select_candidates(scored, 0, 3, ["id"]).columns
+
+
 @pytest.mark.parametrize("name", ["l3_train_report", "l8_select_candidates", "l10_assemble"])
 def test_scratch_tables_are_removed(spark, name):
     scratch = Path(scratch_dir(spark))

@@ -12,6 +12,15 @@ from tidepost.operators.shape import align, drop_present, union_all
 from tidepost.session import materialize
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """Hash of all columns; null differs from other values."""
+    parts = []
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        parts += [column.isNull(), F.to_json(column) if "map" in kind or "variant" in kind else column]
+    return F.xxhash64(*parts)
+
+
 def select_candidates(
     scored: DataFrame,
     labelled_rows: int,
@@ -29,13 +38,17 @@ def select_candidates(
     ``strict`` also one that is too small. The prediction becomes a weak label to be reviewed.
     This runs jobs while the frame is built: the ranking reads the scores more than once, so they
     are written first unless ``written`` says that the pool is a table already. With ``posts``, the
-    table that was scored, only the scores and ``key`` (unique there) are written and ranked, and
-    the other columns are fetched for the chosen rows.
+    table that was scored, only the scores, ``key`` and a hash of the row are written and ranked,
+    and the other columns are fetched for the chosen rows by both. Keys may be null or repeated:
+    rows that have the key and the hash in common are equal, so each chosen one gets that row once.
     """
     needed = max(0, target - labelled_rows)
     columns = scored.columns
     if posts is not None:
-        scored = scored.select(key, *[c for c in columns if c not in posts.columns])
+        shared = [c for c in posts.columns if c in columns]
+        row = _row_hash(posts.select(*shared)).alias("__row")
+        scored = scored.select(key, *[c for c in columns if c not in shared], row)
+        ties = [*ties, "__row"]
     if needed and not written:
         scored = materialize(scored, "scored-pool")
     if needed and scored.isEmpty():
@@ -52,7 +65,18 @@ def select_candidates(
     )
     if posts is not None:
         order = [F.asc_nulls_last("uncertainty_margin"), F.desc_nulls_last("uncertainty_entropy")]
-        ranked = ranked.join(posts, key).select(*columns).orderBy(*order, *ties)
+        scores = F.struct(*[c for c in columns if c not in shared])
+        chosen = ranked.groupBy(F.col(key).alias("__key"), F.col("__row").alias("__chosen")).agg(
+            F.collect_list(scores).alias("__scores")
+        )
+        same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__row") == F.col("__chosen"))
+        found = posts.select(*shared, row).join(chosen, same).dropDuplicates([key, "__row"])
+        ranked = (
+            found.select(*shared, "__row", F.explode("__scores").alias("__score"))
+            .select(*shared, "__row", "__score.*")
+            .orderBy(*order, *ties)
+            .select(*columns)
+        )
     return ranked.withColumns(
         {
             "sentiment": F.col("predicted_sentiment"),
