@@ -351,6 +351,13 @@ def test_similar_groups(frame, bucket, flush):
         assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in expected.values()})
 
 
+def test_shingles_are_told_apart_by_whole_hashes(frame):
+    ends = [216209, 2511826, 364635, 2370774]  # in pairs, the last 40 bits of the hashes are equal
+    docs = frame([(i, f"a b c d {n}") for i, n in enumerate(ends)], "doc_id bigint, text string")
+    groups = {r.doc_id: r.component_id for r in jaccard.similar_groups(docs).collect()}
+    assert groups == {i: i for i in range(4)}
+
+
 def test_similar_groups_awkward(awkward, empty):
     rows = jaccard.similar_groups(awkward).collect()
     assert len(rows) == len(ROWS)

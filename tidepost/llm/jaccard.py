@@ -25,8 +25,6 @@ from tidepost.llm.graph import components
 from tidepost.llm.spans import mixed, shingle_sets, slices
 
 WORDS, PERCENT = 5, 75
-#: Bits of a shingle's hash that are kept besides its bucket.
-_LOW = np.uint64((1 << 40) - 1)
 _MANY = -1
 
 
@@ -96,13 +94,11 @@ def _bucketed(sets: np.ndarray, bounds: np.ndarray, keys: np.ndarray, buckets: i
     leaders = np.empty(len(sets), dtype=bool)
     leaders[order] = ~same[:-1] & same[1:]
     classes = keys[text]
-    token = ((sets >> np.uint64(40)) % np.uint64(buckets) << np.uint64(40) | sets & _LOW).view(
-        np.int64
-    )
+    token = sets.view(np.int64)
     direct = np.flatnonzero(shared)
     alone = np.flatnonzero(~shared | leaders)
     owner = np.where(shared[alone], np.int64(_MANY), classes[alone])
-    bucket = token[alone] >> 40
+    bucket = ((sets[alone] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
     by_bucket = np.lexsort((owner, bucket))
     alone, owner, bucket = alone[by_bucket], owner[by_bucket], bucket[by_bucket]
     edges = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -112,13 +108,13 @@ def _bucketed(sets: np.ndarray, bounds: np.ndarray, keys: np.ndarray, buckets: i
         if edges[b] == edges[b + 1] and not len(pieces[b]):
             continue
         names, place = np.unique(owner[part], return_inverse=True)
-        tokens = token[alone[part]] & np.int64(_LOW)
+        tokens = sets[alone[part]]
         yield (
             b,
             _planes(names),
             np.packbits(np.diff(place, prepend=0).astype(bool)).tobytes(),
-            (tokens & 0xFFFFFFFF).astype("<u4").tobytes(),
-            (tokens >> 32).astype("u1").tobytes(),
+            (tokens & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(),
+            (tokens >> np.uint64(32)).astype("<u4").tobytes(),
             np.stack([classes[pieces[b]], token[pieces[b]]]).tobytes(),
         )
 
@@ -169,14 +165,13 @@ def shared_shingles(docs: DataFrame, total: int, per_bucket: int, flush: int) ->
             yield rows()
 
     def decide(group: pa.Table) -> pa.Table:
-        bucket = group.column("bucket")[0].as_py()
         classes, tokens, direct = [], [], []
         for row in group.select(["classes", "places", "low", "high", "direct"]).to_pylist():
-            low = np.frombuffer(row["low"], "<u4").astype(np.int64)
+            low = np.frombuffer(row["low"], "<u4").astype(np.uint64)
             steps = np.unpackbits(np.frombuffer(row["places"], "u1"), count=len(low))
             classes.append(_from_planes(row["classes"])[np.cumsum(steps, dtype=np.int64)])
-            high = np.frombuffer(row["high"], "u1").astype(np.int64)
-            tokens.append(high << 32 | low)
+            high = np.frombuffer(row["high"], "<u4").astype(np.uint64)
+            tokens.append((high << np.uint64(32) | low).view(np.int64))
             direct.append(np.frombuffer(row["direct"], np.int64).reshape(2, -1))
         owner, token = np.concatenate(classes), np.concatenate(tokens)
         order = np.lexsort((owner, token))
@@ -195,7 +190,7 @@ def shared_shingles(docs: DataFrame, total: int, per_bucket: int, flush: int) ->
         return pa.table(
             {
                 "class": np.concatenate([owner[kept], direct[0]]),
-                "token": np.concatenate([token[kept] | (bucket << 40), direct[1]]),
+                "token": np.concatenate([token[kept], direct[1]]),
             }
         )
 
