@@ -18,6 +18,7 @@ from tidepost.llm import (
     sentences,
     sharding,
     toxicity,
+    whitening,
 )
 from tidepost.llm.common import table
 
@@ -132,3 +133,8 @@ def op6_nearest(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, folder, "documents"))
+
+
+@_query()
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
