@@ -14,6 +14,7 @@ from tidepost.llm import (
     language,
     mixing,
     nearest,
+    negatives,
     packing,
     sentences,
     sharding,
@@ -138,3 +139,32 @@ def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@_query("""
+WITH valid AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), n AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(e, lambda c: floor(256 * c)) AS x FROM valid
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    list_dot_product(a.x, b.x)::BIGINT AS score
+  FROM n a JOIN n b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INTEGER AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+""")
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved))
