@@ -18,6 +18,7 @@ from tidepost.llm import (
     packing,
     sentences,
     sharding,
+    substrings,
     toxicity,
     whitening,
 )
@@ -168,3 +169,8 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(rows.withColumn("label", moved))
+
+
+@_query()
+def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, folder, "documents"), digests=True)
