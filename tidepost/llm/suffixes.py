@@ -2,10 +2,10 @@
 
 Suffixes are classified as smaller or larger than their successor. Leftmost-smaller substrings are
 sorted by induction from their first letters and named; the string of names is sorted in the same way
-until all names differ; then the whole array is induced from the sorted ones. Bytes are induced a
-letter's bucket at a time: what a bucket's suffixes induce in other buckets is appended to those in one
-step, and runs of a letter are followed step by step within the bucket. Names have too many letters for that and are
-induced one by one. Both take time in proportion to the text.
+until all names differ; then the whole array is induced from the sorted ones. A letter's bucket is
+induced at a time: what its suffixes induce in other buckets is appended to those in one step, and runs of
+a letter are followed step by step within the bucket. So that there are few letters on every level, a
+name is spelt with two digits; a short string of names is induced one by one instead.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import numpy as np
 
 #: Letters below those of the text: end of everything, and end of a string.
 END, BREAK = 0, 1
+#: Strings of at most so many names are induced one by one.
+SHORT = 1 << 16
 
 
 def joined(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -108,13 +110,18 @@ def induced(text: np.ndarray, buckets: _Buckets, seeds: np.ndarray) -> np.ndarra
     return out
 
 
-def _names(text: np.ndarray, places: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Names of the substrings from one of ``places`` to the next, by place; equal ones share one."""
+def _names(text: np.ndarray, places: np.ndarray, order: np.ndarray, strings: bool) -> np.ndarray:
+    """Names of the substrings from one of ``places`` to the next, by place; equal ones share one.
+
+    In a text of ``strings``, those that begin with ``BREAK`` differ from each other.
+    """
     size = np.zeros(len(text), np.int64)
     size[places[:-1]] = np.diff(places) + 1
     size[places[-1]] = 1
     a, b = order[:-1], order[1:]
     same = size[a] == size[b]
+    if strings:
+        same &= text[a] != BREAK
     live, at = np.flatnonzero(same), 0
     while len(live):
         equal = text[a[live] + at] == text[b[live] + at]
@@ -127,8 +134,12 @@ def _names(text: np.ndarray, places: np.ndarray, order: np.ndarray) -> np.ndarra
     return name[places]
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Places of all suffixes of ``text`` (whose last letter is the only ``END``) in order."""
+def suffix_array(text: np.ndarray, strings: bool = False) -> np.ndarray:
+    """Places of all suffixes of ``text`` (whose last letter is the only ``END``) in order.
+
+    With ``strings`` (see ``joined``), suffixes are compared up to the end of their string, and those
+    that are equal so far have any order.
+    """
     small = smaller(text)
     buckets = _Buckets(text, small)
     left = small.copy()
@@ -139,13 +150,25 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         return np.array([0], np.int64)
     order = induced(text, buckets, places)
     order = order[left[order]]
-    names = _names(text, places, order)
+    names = _names(text, places, order, strings)
     if names.max() + 1 < len(names):
-        order = places[np.array(sorted_names(names.tolist(), int(names.max()) + 1))]
+        order = places[sorted_names(names)]
     return induced(text, buckets, order)
 
 
-def sorted_names(text: list[int], size: int) -> list[int]:
+def sorted_names(names: np.ndarray) -> np.ndarray:
+    """The suffix array of a string of names, whose last one, 0, occurs once."""
+    if len(names) <= SHORT:
+        return np.array(induced_names(names.tolist(), int(names.max()) + 1))
+    base = int(np.ceil(np.sqrt(names.max() + 1)))
+    spelt = np.empty(2 * len(names) - 1, np.uint32 if base >= 2**16 else np.uint16)
+    spelt[:-1:2], spelt[1::2] = names[:-1] // base + 1, names[:-1] % base + 1
+    spelt[-1] = END
+    order = suffix_array(spelt)
+    return order[order % 2 == 0] // 2
+
+
+def induced_names(text: list[int], size: int) -> list[int]:
     """The suffix array of names below ``size``, whose last one, 0, occurs once."""
     count = len(text)
     small = bytearray(count)
@@ -193,7 +216,7 @@ def sorted_names(text: list[int], size: int) -> list[int]:
                 name, last = name + 1, part
             names[i] = name
     if name + 1 < len(places):
-        shorter = sorted_names([names[i] for i in places], name + 1)
+        shorter = induced_names([names[i] for i in places], name + 1)
     else:
         shorter = [0] * len(places)
         for k, i in enumerate(places):
@@ -254,7 +277,7 @@ def common_prefixes(
 def repeated_places(strings: list[bytes], length: int) -> list[np.ndarray]:
     """For each string, the places whose next ``length`` bytes occur at another place of any string."""
     text, begins = joined(strings)
-    order = suffix_array(text)
+    order = suffix_array(text, strings=True)
     longest = max(map(len, strings), default=0)
     shared = common_prefixes(text, order, begins, max(longest, length))
     after = np.zeros(len(text), np.int64)
