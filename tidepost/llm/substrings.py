@@ -4,7 +4,8 @@ Every string of ``length`` bytes chooses one anchor, the run of ``GRAM`` bytes i
 so equal strings choose equal anchors at the same distance. Neighbouring places of a text that choose the
 same anchor make one piece. Pieces whose anchor occurs once are settled; equal pieces are one string
 with a count; strings that share an anchor meet in one shard, whose suffix array (induced sorting) and
-permuted common prefixes tell which of their places repeat.
+permuted common prefixes tell which of their places repeat. An anchor with too many different strings is
+split by the distance to it.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ GRAM = 50
 _BITS = 16
 #: Bytes of a long text that are read at once.
 _PART = 4 << 20
+#: Distances to an anchor that stay together when its strings are too many for a shard.
+CELL = 13
 _KEY = ["k", "j"]
 
 
@@ -127,7 +130,7 @@ def _marks(texts: DataFrame, length: int) -> DataFrame:
 
 
 def _cut_out(texts: DataFrame, length: int) -> DataFrame:
-    """``anchor, hash, count, kinds, bytes`` of the pieces that ``wanted`` lists for each text."""
+    """``anchor, hash, count, bytes`` of the pieces that ``wanted`` lists for each text."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,14 +145,14 @@ def _cut_out(texts: DataFrame, length: int) -> DataFrame:
                 data = data.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[fields.field(n) for n in ("anchor", "hash", "count", "kinds")],
+                        *[fields.field(n) for n in ("anchor", "hash", "count")],
                         pa.array([data[a:b] for a, b in zip(begin.tolist(), end.tolist())]),
                     ],
-                    ["anchor", "hash", "count", "kinds", "bytes"],
+                    ["anchor", "hash", "count", "bytes"],
                 )
 
     return texts.select("text", "wanted").mapInArrow(
-        cut, "anchor bigint, hash bigint, count bigint, kinds bigint, bytes binary"
+        cut, "anchor bigint, hash bigint, count bigint, bytes binary"
     )
 
 
@@ -187,26 +190,87 @@ def _sorted_shards(strings: DataFrame, length: int, shards: int) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(search, _RUNS).filter("size(runs) > 0")
 
 
+class _Digests:
+    """Hashes of stretches of the texts of a column."""
+
+    def __init__(self, column: pa.Array):
+        self.data, self.offsets = utf8(column)
+        up, self.down = powers(len(self.data) + 1)
+        self.sums = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=self.sums[1:])
+
+    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[end] - self.sums[begin]) * self.down[begin])
+
+
+def _within(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row of each of ``counts`` items, and its number in the row."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _cells(strings: DataFrame, length: int) -> DataFrame:
+    """Strings split by distance to their anchor: ``parent, above, first, anchor, hash, count, bytes``.
+
+    A cell's own anchor is what all strings of ``length`` bytes that begin in it have in common, so
+    places that repeat meet again. ``first`` is the cell's first place in the string (``parent``,
+    ``above`` are its anchor and hash).
+    """
+    cell = min(CELL, length)
+    gram = min(GRAM, length)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 3, 1 << 18):
+                digest = _Digests(part.column(3))
+                data, offsets = digest.data.tobytes(), digest.offsets
+                grams = digest(np.arange(len(data) - gram + 1), np.arange(gram, len(data) + 1))
+                base = offsets[:-1]
+                at = least_of_windows(grams, length - gram + 1)[base] - base
+                places = np.diff(offsets) - length + 1
+                low, high = (at - places + 1) // cell, at // cell
+                row, number = _within(high - low + 1)
+                number += low[row]
+                last = at[row] - number * cell
+                first, stop = np.maximum(last - cell + 1, 0), np.minimum(last + 1, places[row])
+                inner = base[row] + last
+                shared = digest(inner, inner - cell + 1 + length) + number.astype(np.uint64)
+                begin, end = base[row] + first, base[row] + stop - 1 + length
+                whole = digest(begin, end) + (end - begin).astype(np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(pa.array(row)),
+                        part.column(1).take(pa.array(row)),
+                        pa.array(first.astype(np.int32)),
+                        pa.array(mixed(shared).view(np.int64)),
+                        pa.array(mixed(whole).view(np.int64)),
+                        part.column(2).take(pa.array(row)),
+                        pa.array([data[a:b] for a, b in zip(begin.tolist(), end.tolist())]),
+                    ],
+                    ["parent", "above", "first", "anchor", "hash", "count", "bytes"],
+                )
+
+    return strings.select("anchor", "hash", "count", "bytes").mapInArrow(
+        split,
+        "parent bigint, above bigint, first int, anchor bigint, hash bigint, count bigint, "
+        "bytes binary",
+    )
+
+
 def _counted_places(strings: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with too many different strings for one shard: digests are counted."""
+    """``anchor, hash, runs`` by counting the digests of all places."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 3, 1 << 18):
-                data, offsets = utf8(part.column(3))
-                up, down = powers(len(data) + 1)
-                sums = np.zeros(len(data) + 1, np.uint64)
-                np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-                count = np.diff(offsets) - length + 1
-                row = np.repeat(np.arange(len(part)), count)
-                place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-                at = offsets[row] + place
-                digest = mixed((sums[at + length] - sums[at]) * down[at])
+                digest = _Digests(part.column(3))
+                row, place = _within(np.diff(digest.offsets) - length + 1)
+                at = digest.offsets[row] + place
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[part.column(i).take(pa.array(row)) for i in range(3)],
                         pa.array(place.astype(np.int32)),
-                        pa.array(digest.view(np.int64)),
+                        pa.array(digest(at, at + length).view(np.int64)),
                     ],
                     ["anchor", "hash", "count", "place", "digest"],
                 )
@@ -216,7 +280,8 @@ def _counted_places(strings: DataFrame, length: int) -> DataFrame:
     )
     rows = save(rows, "substring-digests")
     again = rows.groupBy("anchor", "digest").agg(F.sum("count").alias("n")).filter("n > 1")
-    found = rows.join(again.select("anchor", "digest"), ["anchor", "digest"], "left_semi")
+    again = save(again.select("anchor", "digest"), "substring-again")
+    found = rows.join(again, ["anchor", "digest"], "left_semi")
     places = F.sort_array(F.collect_list("place"))
     return found.groupBy("anchor", "hash").agg(
         F.transform(
@@ -225,6 +290,46 @@ def _counted_places(strings: DataFrame, length: int) -> DataFrame:
     )
 
 
+def _settled(strings: DataFrame, length: int, shard_bytes: int, most: int, split: bool) -> DataFrame:
+    """``anchor, hash, runs`` of the different ``strings`` (``anchor, hash, count, bytes``).
+
+    Anchors with up to ``most`` strings go to shards. The strings of others are split into cells, equal
+    cells are one string again, and those are settled in the same way; where a cell has still more,
+    its few places are counted by digest.
+    """
+    kinds = strings.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    kinds = save(kinds, "substring-kinds")
+    met = strings.join(kinds, "anchor")
+    few = met.filter(F.col("kinds") <= most)
+    many = met.filter(F.col("kinds") > most)
+    size = few.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    shards = max(1, -(-size // shard_bytes))
+    sorted_ = _sorted_shards(few, length, shards)
+    if kinds.filter(F.col("kinds") > most).isEmpty():
+        return sorted_
+    if not split:
+        return sorted_.unionByName(_counted_places(many, length))
+    cells = save(_cells(many, length), "substring-cells")
+    different = cells.groupBy("anchor", "hash").agg(
+        F.sum("count").alias("count"), F.first("bytes").alias("bytes")
+    )
+    different = save(different, "substring-different")
+    runs = save(_settled(different, length, shard_bytes, most, False), "substring-cell-runs")
+    shifted = F.transform(
+        "runs",
+        lambda r: F.struct(
+            (r.start + F.col("first")).alias("start"), (r.stop + F.col("first")).alias("stop")
+        ),
+    )
+    places = cells.select("parent", "above", "first", "anchor", "hash")
+    above = (
+        places.join(runs, ["anchor", "hash"])
+        .groupBy(F.col("parent").alias("anchor"), F.col("above").alias("hash"))
+        .agg(F.flatten(F.collect_list(shifted)).alias("runs"))
+    )
+    return sorted_.unionByName(above)
+
+
 def _met(left: DataFrame, keys: DataFrame, size: int, limit: int) -> DataFrame:
     """Rows of ``left`` whose text is among ``keys``; ``size`` keys below ``limit`` are sent along."""
     return left.join(F.broadcast(keys) if size <= limit else keys, _KEY, "left_semi")
@@ -240,8 +345,8 @@ def repeated_spans(
     """``k, j, start, stop``: bytes to remove from the texts with these keys (see ``_keyed``).
 
     A byte is listed if a string of ``length`` bytes covers it that starts anywhere else too; spans
-    of a text may overlap. Anchors with more than ``kinds_per_anchor`` different strings are settled
-    by counting the digests of their places, whatever their number.
+    of a text may overlap. ``shard_bytes`` is the size of a shard, ``kinds_per_anchor`` the number of
+    different strings of an anchor beyond which they are split (``_settled``).
     """
     if length >= 2**_BITS:
         raise ValueError(f"length must be below {2**_BITS}")
@@ -253,16 +358,18 @@ def repeated_spans(
     pieces = marks.select("k", "j", each).select("k", "j", "p.piece", "p.anchor", "p.hash")
     anchors = marks.select(F.explode("anchor").alias("anchor"))
     twice = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # written, so that the join has plain shuffles on both sides, which Spark can split
+    twice = save(twice, "substring-anchors")
     places = save(pieces.join(twice, "anchor", "left_semi"), "substring-places")
     one = F.min(F.struct("k", "j", "piece")).alias("one")
     strings = places.groupBy("anchor", "hash").agg(F.count("*").alias("count"), one)
     strings = save(strings, "substring-strings")
     kinds = strings.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    strings = strings.join(kinds, "anchor")
+    strings = strings.join(save(kinds, "substring-kinds"), "anchor")
     alone = strings.filter("kinds = 1")
     several = save(
         strings.filter("kinds > 1").select(
-            "one.k", "one.j", F.struct("one.piece", "anchor", "hash", "count", "kinds").alias("w")
+            "one.k", "one.j", F.struct("one.piece", "anchor", "hash", "count").alias("w")
         ),
         "substring-several",
     )
@@ -270,17 +377,10 @@ def repeated_spans(
     keys = save(several.select(*_KEY).distinct(), "substring-keys")
     sources = _distinct_texts(long_enough, keys, broadcast_keys)
     cut = save(_cut_out(sources.join(wanted, _KEY), length), "substring-cut")
-    size = cut.filter(F.col("kinds") <= kinds_per_anchor).agg(F.sum(F.octet_length("bytes")))
-    shards = max(1, -(-(size.first()[0] or 0) // shard_bytes))
     windows = F.col("one.piece").bitwiseAND(2**_BITS - 1).cast("int")
     whole = F.array(F.struct(F.lit(0).alias("start"), windows.alias("stop"))).alias("runs")
-    runs = (
-        alone.select("anchor", "hash", whole)
-        .unionByName(
-            _sorted_shards(cut.filter(F.col("kinds") <= kinds_per_anchor), length, shards)
-        )
-        .unionByName(_counted_places(cut.filter(F.col("kinds") > kinds_per_anchor), length))
-    )
+    settled = _settled(cut, length, shard_bytes, kinds_per_anchor, True)
+    runs = alone.select("anchor", "hash", whole).unionByName(settled)
     first = F.shiftright("piece", _BITS)
     return (
         places.join(save(runs, "substring-runs"), ["anchor", "hash"])
