@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,14 +158,18 @@ def learn_partitions(
     return router, visits
 
 
-def _nearest(queries: np.ndarray, query_ids, rows: np.ndarray, ids, k: int) -> pd.DataFrame:
-    """The ``k`` nearest rows of each query, itself excluded, by exact distance, ties by id."""
+def _nearest(queries: np.ndarray, query_ids, rows: np.ndarray, ids, k: int) -> list[tuple]:
+    """``query_id, vec_id, score`` of the ``k`` nearest ids of each query, its own excluded.
+
+    By exact distance, ties by id; an id counts with its nearest row.
+    """
     out = []
     square = (rows * rows).sum(axis=1)
+    repeated = len(np.unique(ids)) < len(ids)
     for q, query_id in zip(queries, query_ids, strict=True):
         rough = square - 2 * (rows @ q)
         rough[ids == query_id] = np.inf
-        if len(rough) > k:
+        if len(rough) > k and not repeated:
             edge = np.partition(rough, k - 1)[k - 1]
             # rounding of the rough measure must not cut a tie
             room = 1e-9 * (square.max() + float(q @ q)) + 1e-12
@@ -173,15 +178,70 @@ def _nearest(queries: np.ndarray, query_ids, rows: np.ndarray, ids, k: int) -> p
             near = np.arange(len(rough))
         near = near[ids[near] != query_id]
         exact = np.sqrt(((rows[near] - q) ** 2).sum(axis=1))
-        best = np.lexsort((ids[near], exact))[:k]
-        out.append(
-            pd.DataFrame({"query_id": query_id, "vec_id": ids[near[best]], "score": exact[best]})
-        )
-    empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-    return pd.concat(out).astype(_TYPES) if out else empty.astype(_TYPES)
+        order = np.lexsort((ids[near], exact))
+        if repeated:
+            _, first = np.unique(ids[near[order]], return_index=True)
+            order = order[np.sort(first)]
+        best = order[:k]
+        out += [(query_id, i, e) for i, e in zip(ids[near[best]].tolist(), exact[best].tolist())]
+    return out
+
 
+def _different(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors and ids, each pair once."""
+    order = np.lexsort((*rows.T, ids))
+    ids, rows = ids[order], rows[order]
+    fresh = np.ones(len(ids), dtype=bool)
+    fresh[1:] = (ids[1:] != ids[:-1]) | (rows[1:] != rows[:-1]).any(axis=1)
+    return rows[fresh], ids[fresh]
 
-_TYPES = {"query_id": "int64", "vec_id": "int64", "score": "float64"}
+
+def _vectors(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    column = part.column(4)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return part.column(3).to_numpy(), flat.reshape(len(column), -1)
+
+
+def _found(placed: DataFrame, visiting: DataFrame, k: int) -> DataFrame:
+    """``query_id, vec_id, score``: the best of each block for the queries that visit it.
+
+    A block's rows come first in a task's order; once they are read, the queries stream past them, so
+    rows are sent once, however many queries there are.
+    """
+    columns = ["part", "block", "kind", "vec_id", "embedding"]
+    both = placed.withColumn("kind", F.lit(0)).select(*columns).unionByName(
+        visiting.withColumn("kind", F.lit(1)).select(*columns)
+    )
+    dealt = both.repartition("part", "block").sortWithinPartitions("part", "block", "kind")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts, block = None, [], None
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
+            edges = np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(batch)], strict=True):
+                if a == b:
+                    continue
+                if at != tuple(keys[a, :2]):
+                    at, parts, block = tuple(keys[a, :2]), [], None
+                ids, vectors = _vectors(batch.slice(a, b - a))
+                if keys[a, 2] == 0:
+                    parts.append((ids, vectors))
+                    continue
+                if block is None:
+                    if not parts:
+                        continue
+                    ids_, rows = (np.concatenate(c) for c in zip(*parts, strict=True))
+                    block, parts = _different(ids_, rows), []
+                found = _nearest(vectors, ids.tolist(), *block, k)
+                if found:
+                    query, near, score = zip(*found, strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(query, pa.int64()), pa.array(near, pa.int64()), pa.array(score, pa.float64())],
+                        ["query_id", "vec_id", "score"],
+                    )
+
+    return dealt.mapInArrow(search, "query_id bigint, vec_id bigint, score double")
 
 
 def nearest(
@@ -196,18 +256,18 @@ def nearest(
 
     The sample (the ``sample`` first by hash of the id) reaches the driver; graph, partitions,
     classifier and number of visits come from it. All vectors are filed. There are about
-    sqrt(rows) / 4 partitions, at most 256. A partition is split by hash of the id into blocks of
-    about ``rows_per_block`` rows, and queries into blocks of as many, so a partition of many
-    equal vectors is many blocks. The best of a block are ranked again over all blocks. ``score``
-    is the Euclidean distance of the original vectors in double precision, ties go to the smaller
-    id; rows that repeat an id are candidates for others, not for each other. What takes no part is
+    sqrt(rows) / 4 partitions, at most 256. A partition is split by hash of the row into blocks of
+    about ``rows_per_block`` rows, so a partition of many equal vectors is many blocks. The best of a
+    block are ranked again over all blocks; a query that has found fewer than ``k`` in the
+    partitions it visits searches all of them. ``score`` is the Euclidean distance of the original
+    vectors in double precision, ties go to the smaller id. Rows that repeat an id are one candidate, the
+    nearest of them, and one query, with the vector that comes first in order. What takes no part is
     said at ``valid_vectors``; an empty table gives no rows.
     """
     spark = rows.sparkSession
     bounded_batches(spark, rows=5_000)
     vectors = save(valid_vectors(rows), "nearest-vectors")
     count = vectors.count()
-    schema = "query_id bigint, vec_id bigint, score double"
     if count < 2:
         empty = "query_id bigint, rank int, vec_id bigint, score double"
         return spark.createDataFrame([], empty)
@@ -228,7 +288,10 @@ def nearest(
         "nearest-filed",
     )
     items = filed.select("vec_id", "embedding", F.col("visits")[0].alias("part"))
-    asked = filed.filter(F.col("vec_id") % every == 0)
+    asked = filed.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(
+        F.min(F.struct("embedding", "visits")).alias("first")
+    )
+    asked = save(asked.select("vec_id", "first.*"), "nearest-asked")
     blocks = items.groupBy("part").agg(
         F.ceil(F.count("*") / F.lit(rows_per_block)).cast("int").alias("blocks")
     )
@@ -239,36 +302,23 @@ def nearest(
         "vec_id",
         "embedding",
     )
-    groups = max(1, math.ceil(asked.count() / rows_per_block))
-    placed = placed.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    visiting = (
-        asked.select(
-            F.explode("visits").alias("part"),
-            F.col("vec_id").alias("query_id"),
-            F.col("embedding").alias("query"),
-            F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("group"),
-        )
-        .join(blocks, "part")
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("part", "block", "group", "query_id", "query")
-    )
 
-    def search(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        return _nearest(
-            np.array(queries["query"].tolist(), dtype=float),
-            queries["query_id"].to_numpy(),
-            np.array(block["embedding"].tolist(), dtype=float).reshape(len(block), -1),
-            block["vec_id"].to_numpy(),
-            k,
+    def ranked(queries: DataFrame) -> DataFrame:
+        visiting = (
+            queries.select(F.explode("visits").alias("part"), "vec_id", "embedding")
+            .join(blocks, "part")
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         )
-
-    by = ["part", "block", "group"]
-    found = (
-        visiting.groupBy(*by).cogroup(placed.groupBy(*by)).applyInPandas(search, schema)
-    )
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+        best = _found(placed, visiting, k).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+    found = save(ranked(asked), "nearest-found")
+    enough = found.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    short = save(asked.join(enough, "vec_id", "left_anti"), "nearest-short")
+    if not short.isEmpty():
+        filled = sorted(r.part for r in items.select("part").distinct().collect())
+        wide = ranked(short.withColumn("visits", F.array(*[F.lit(p) for p in filled])))
+        again = short.select(F.col("vec_id").alias("query_id"))
+        found = found.join(again, "query_id", "left_anti").unionByName(wide)
+    return found.select("query_id", "rank", "vec_id", "score")
