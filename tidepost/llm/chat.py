@@ -7,7 +7,8 @@ Template::
 
 A block holds adjacent turns of one role, joined by ``<sep>``. Assistant blocks carry the loss.
 Control strings inside texts get a backslash behind their first character (one more if there are
-some already), which reading takes away again.
+some already), which reading takes away again. A line break in a role is written ``%0A``, and ``%`` in a
+role ``%25``, as the role ends with its line.
 """
 
 from __future__ import annotations
@@ -30,6 +31,15 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, rf"([<\[])\\(\\*){_CONTROL}", r"$1$2$3")
 
 
+def escape_role(role: Column) -> Column:
+    return escape(F.replace(F.replace(role, F.lit("%"), F.lit("%25")), F.lit("\n"), F.lit("%0A")))
+
+
+def unescape_role(role: Column) -> Column:
+    lines = F.replace(unescape(role), F.lit("%0A"), F.lit("\n"))
+    return F.replace(lines, F.lit("%25"), F.lit("%"))
+
+
 def format_conversations(turns: DataFrame) -> DataFrame:
     """``conv_id, formatted`` from rows ``conv_id, turn, role, text``.
 
@@ -60,7 +70,7 @@ def format_conversations(turns: DataFrame) -> DataFrame:
         return (
             F.when(role == "user", F.concat(F.lit(USER), body, F.lit(USER_END)))
             .when(role == "assistant", F.concat(body, F.lit(END)))
-            .otherwise(F.concat(F.lit(OTHER), escape(role), F.lit("\n"), body, F.lit(OTHER_END)))
+            .otherwise(F.concat(F.lit(OTHER), escape_role(role), F.lit("\n"), body, F.lit(OTHER_END)))
         )
 
     blocks = F.array_join(F.transform(starts_, block), "")
@@ -94,7 +104,7 @@ def read_turns(formatted: Column) -> Column:
             .when(
                 block.startswith(OTHER) & block.endswith(OTHER_END),
                 turns(
-                    unescape(F.substring(other, F.lit(1), line - 1)),
+                    unescape_role(F.substring(other, F.lit(1), line - 1)),
                     F.substring(other, line + 1, F.length(other)),
                 ),
             )

@@ -77,7 +77,8 @@ WITH raw AS (
 ), marked AS (
   SELECT *, lag(role) OVER w AS before,
     regexp_replace(text, '([<\[])(\\*)(/?s>|sep>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g') AS safe,
-    regexp_replace(role, '([<\[])(\\*)(/?s>|sep>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g') AS safe_role
+    regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'),
+      '([<\[])(\\*)(/?s>|sep>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g') AS safe_role
   FROM raw WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
 ), sized AS (
   SELECT *, length(safe) + CASE
