@@ -51,7 +51,8 @@ def learning_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     """``doc_id, text, toxic`` of at most ``most`` labelled documents, the first by hash.
 
     Only documents whose ``crc32`` of the id modulo 4 is not 2 are taken; of several labels of a
-    document the largest counts.
+    document the largest counts, and of several documents with one id the one whose text has the
+    least hash, so that there is one row for each id.
     """
     marked = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -63,7 +64,9 @@ def learning_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     )
     marked = F.broadcast(marked)  # at most `most` rows of two numbers
     text = F.coalesce("text", F.lit("")).alias("text")
-    return docs.select("doc_id", text).join(marked, "doc_id")
+    found = docs.select("doc_id", text).join(marked, "doc_id")
+    first = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    return found.groupBy("doc_id").agg(first, F.first("toxic").alias("toxic"))
 
 
 def choose_voters(rows: DataFrame, most: int, ratio: float, support: float) -> list[str]:
