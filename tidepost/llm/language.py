@@ -7,22 +7,24 @@ through time on a bounded sample of windows and applied inside the tasks.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepost.llm.common import bounded_batches, crc32_bucket
+from tidepost.llm.common import bounded_batches, crc32_bucket, save
 from tidepost.llm.spans import slices, utf8
 
 UNKNOWN = "und"
 WINDOW, HIDDEN = 64, 8
 _LETTER = np.zeros(256, dtype=np.float32)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1.0
-_ANY_LETTER = re.compile(r"[^\W\d_]")
+_ANY_LETTER = regex.compile(r"\p{L}")
+#: Bits of a hash by which documents are counted before any are ranked.
+_COUNTED_BITS = 14
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -154,11 +156,22 @@ def training_windows(
     """``lang, piece``: windows at hashed places of a bounded sample of labelled documents.
 
     The sample takes the ``per_language`` documents of each language that come first by hash, of
-    those whose ``crc32`` of the id modulo 5 is not 0, and ``per_text`` windows of each.
+    those whose ``crc32`` of the id modulo 5 is not 0, and ``per_text`` windows of each. Documents are
+    counted by the first bits of their hash, so that only those which can be among the first are
+    ranked.
     """
     learned = docs.filter(
         (crc32_bucket("doc_id", 5) != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
+    first_bits = F.shiftright(F.xxhash64("doc_id"), 64 - _COUNTED_BITS)
+    counts = learned.groupBy("lang", first_bits.alias("bits")).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("bits"))
+    # a row for each language, from at most 2 ** 14 of each
+    last = counts.withColumn("upto", upto).withColumn("full", F.col("upto") >= per_language)
+    last = last.groupBy("lang").agg(
+        F.coalesce(F.min(F.when(F.col("full"), F.col("bits"))), F.max("bits")).alias("last")
+    )
+    learned = learned.join(save(last, "language-counts"), "lang").filter(first_bits <= F.col("last"))
     # places are drawn before the ranking, so that no whole text is shuffled
     texts = learned.select(
         "doc_id",
