@@ -229,9 +229,9 @@ def common_prefixes(
 ) -> np.ndarray:
     """By place: how many letters a suffix shares with the one before it in ``order``.
 
-    Counted up to ``longest`` from the places where that can't be told from the place before: where
-    the letters before the two suffixes differ, and where a string begins. From there on, the number falls by one at
-    every place. Numbers of at most ``longest`` letters that end within a string are exact.
+    Counted where the letters before the two suffixes differ, and where a string begins, up to
+    ``longest``, the length of the longest string. From there on, the number falls by one at every place.
+    Numbers that end within a string are exact.
     """
     count = len(text)
     before = np.empty(count, np.int64)
