@@ -11,9 +11,11 @@ from tidepost.sources.files import (
     export_csv,
     load_results,
     load_table,
+    malformed_rows,
     read_labelled_csv,
     read_posts_csv,
     read_stage,
+    write_results,
     write_stage,
 )
 
@@ -47,6 +49,61 @@ def s3(v):
     return read_labelled_csv(v.spark, [path]).select("id", "url", "text", "sentiment")
 
 
+_HEADERS = ["id", "url", "lang"], ["lang", "id", "view_count"], ["url", "id"]
+
+
+@query(
+    "s1_mixed_headers",
+    """SELECT id::VARCHAR AS id, CASE WHEN id % 3 <> 1 THEN url END AS url,
+         CASE WHEN id % 3 <> 2 THEN lang END AS lang,
+         CASE WHEN id % 3 = 1 THEN view_count::VARCHAR END AS view_count,
+         false AS malformed FROM posts
+       UNION ALL SELECT id::VARCHAR, url, NULL, NULL, false FROM posts WHERE id % 10 = 3
+       UNION ALL SELECT id::VARCHAR, url, NULL, NULL, true FROM posts WHERE id % 10 = 4
+       UNION ALL SELECT id::VARCHAR, NULL, NULL, NULL, true FROM posts WHERE id % 10 = 5""",
+    "posts",
+)
+def s1_headers(v):
+    """One folder with three orders of columns, and files with too many and too few cells."""
+    path = scratch_path(v.spark, "mixed")
+    plain = {"header": True, "escape": '"'}
+    for i, header in enumerate(_HEADERS):
+        part = v.posts.filter(F.col("id") % 3 == i).select(*header)
+        part.write.mode("append").options(**plain).csv(path)
+    cells = {
+        3: F.concat_ws(",", "id", "url"),
+        4: F.concat_ws(",", "id", "url", F.lit("surplus"), F.lit("cells")),
+        5: F.col("id").cast("string"),
+    }
+    for digit, line in cells.items():
+        lines = v.posts.filter(F.col("id") % 10 == digit).select(line.alias("value"))
+        head = v.spark.range(1).select(F.lit("id,url").alias("value"))
+        both = head.withColumn("at", F.lit(0)).unionByName(lines.withColumn("at", F.lit(1)))
+        both.coalesce(1).sortWithinPartitions("at").select("value").write.mode("append").text(path)
+    posts = read_posts_csv(v.spark, [path], malformed="bad")
+    return posts.select(
+        "id", "url", "lang", "view_count", F.col("bad").isNotNull().alias("malformed")
+    )
+
+
+@query(
+    "s1_malformed_rows",
+    """SELECT count(*) AS rows, count(*) FILTER (id % 4 = 0) AS malformed_rows FROM posts""",
+    "posts",
+)
+def s1_malformed(v):
+    path = scratch_path(v.spark, "malformed")
+    surplus = F.when(F.col("id") % 4 == 0, F.lit(",x")).otherwise(F.lit(""))
+    lines = v.posts.select(F.concat(F.concat_ws(",", "id", "lang"), surplus).alias("value"))
+    head = v.spark.range(1).select(F.lit("id,lang").alias("value"), F.lit(0).alias("at"))
+    both = head.unionByName(lines.withColumn("at", F.lit(1))).coalesce(1)
+    both.sortWithinPartitions("at").select("value").write.text(path)
+    counts = malformed_rows(read_posts_csv(v.spark, [path], malformed="bad"), "bad")
+    return counts.agg(
+        F.sum("rows").alias("rows"), F.sum("malformed_rows").alias("malformed_rows")
+    )
+
+
 @query("s4_read_stage", "SELECT doc_id, lang, n_chars FROM documents")
 def s4(v):
     return read_stage(v.spark, f"{v.folder}/documents.parquet", ["doc_id", "lang", "n_chars"])
@@ -77,6 +134,43 @@ def s7(v):
     return v.spark.read.parquet(path).withColumn("loaded", F.lit(loaded).cast("bigint"))
 
 
+@query(
+    "s5_replace_what_is_read",
+    "SELECT id, view_count + 2 AS view_count FROM posts WHERE id % 2 = 0",
+    "posts",
+)
+def s5_replace(v):
+    """A stage table that is replaced twice by what a job reads from it."""
+    path = scratch_path(v.spark, "stage")
+    write_stage(v.posts.select("id", "view_count"), path)
+    for _ in range(2):
+        rows = read_stage(v.spark, path).filter("id % 2 = 0")
+        write_stage(rows.withColumn("view_count", F.col("view_count") + 1), path)
+    return read_stage(v.spark, path)
+
+
+@query(
+    "s7_replace_after_failure",
+    f"""SELECT id, final_sentiment, {r('model_confidence')} AS model_confidence, true AS failed,
+          (SELECT count(*) FROM final) AS loaded FROM final""",
+    "final",
+)
+def s7_failure(v):
+    """A load that breaks off half-way leaves the rows of the one before."""
+    path = scratch_path(v.spark, "table")
+    rows = v.final.select("id", "final_sentiment", "model_confidence")
+    loaded = load_table(rows, path, "parquet")
+    breaks = F.when(F.col("id") % 7 == 3, F.raise_error(F.lit("broken off"))).otherwise(F.col("id"))
+    try:
+        load_table(v.spark.read.parquet(path).withColumn("id", breaks.cast("bigint")), path, "parquet")
+        failed = False
+    except Exception as error:  # noqa: BLE001
+        failed = "broken off" in str(error)
+    return v.spark.read.parquet(path).withColumns(
+        {"failed": F.lit(failed), "loaded": F.lit(loaded).cast("bigint")}
+    )
+
+
 @query(
     "s8_export_csv",
     "SELECT id::VARCHAR AS id, text, sentiment, review_required::VARCHAR AS review_required "
@@ -99,6 +193,22 @@ def s9(v):
     return load_results(v.posts, ["id", "created_at", "lang", "like_count"])
 
 
+@query(
+    "s9_results_by_month",
+    """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
+       WHERE o_orderdate BETWEEN DATE '1995-03-15' AND DATE '1995-05-02'""",
+)
+def s9_months(v):
+    path = scratch_path(v.spark, "months")
+    orders = v.table("orders").withColumn("created_at", F.col("o_orderdate").cast("timestamp"))
+    write_results(orders, path)
+    stored = v.spark.read.parquet(path)
+    rows = load_results(
+        stored, ["o_orderkey", "created_at"], start="1995-03-15", end="1995-05-02"
+    )
+    return rows.select("o_orderkey", F.date_format("created_at", "yyyy-MM-dd").alias("day"))
+
+
 @query(
     "s10_al_summary",
     """SELECT count(*) FILTER (label_source = 'manual') AS baseline_rows,

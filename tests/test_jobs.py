@@ -43,13 +43,6 @@ def test_csv_sources_differ_in_columns(spark, tmp_path):
         files.read_posts_csv(spark, paths)
 
 
-def test_csv_headers_in_another_order_fail_loudly(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("id,text\n1,x\n", encoding="utf-8")
-    (tmp_path / "b.csv").write_text("text,id\ny,2\n", encoding="utf-8")
-    with pytest.raises(Exception, match="(?i)header"):
-        files.read_posts_csv(spark, [str(tmp_path)]).collect()
-
-
 def test_lookup_file(spark, tmp_path):
     path = tmp_path / "words.json"
     path.write_text('{"a": "x", "b": "", "a": "y"}', encoding="utf-8")
