@@ -6,11 +6,12 @@ from checks import sql as q
 from checks.registry import query
 from checks.views import FLIP_TO, FLIPS, LABELS
 from tidepost.functions import columns as c
+from tidepost.functions.times import is_lost, parse_time
 from tidepost.operators import shape
 from tidepost.operators.explore import with_interactions, with_time_parts
 from tidepost.operators.ranking import number_rows
 from tidepost.operators.reports import report_filter, report_rows
-from tidepost.plans.export import ExportTypes, coerce_export
+from tidepost.plans.export import ExportTypes, coerce_export, export_losses
 from tidepost.plans.ingest import with_flags, with_ingestion_time
 from tidepost.plans.labelling import valid_labels
 from tidepost.plans.merge import fill_irony
@@ -50,6 +51,71 @@ def p2(v):
     return number_rows(rows, order, "source_row", start=2).select("event_id", "source_row")
 
 
+#: Forms of a time, and the text after which it has no seconds or no time of day.
+_FORMS = [
+    ("yyyy-MM-dd'T'HH:mm:ss'Z'", "second", 0),
+    ("yyyy-MM-dd HH:mm:ss'+07:00'", "second", 7),
+    ("MMM dd HH:mm:ss '+0000' yyyy", "second", 0),
+    ("dd MMM yyyy HH:mm:ss 'GMT'", "second", 0),
+    ("EEEE dd MMMM yyyy HH:mm:ss", "second", 0),
+    ("EEE, dd MMM yyyy HH:mm 'EST'", "minute", -5),
+    ("MMM d, yyyy", "day", 0),
+    ("dd MMM yyyy", "day", 0),
+    ("yyyyMMdd", "day", 0),
+    ("yyyyMMddHHmmss", "second", 0),
+    ("yyyy/MM/dd HH:mm", "minute", 0),
+    ("MM/dd/yyyy hh:mm a", "minute", 0),
+    ("MMMM d, yyyy 'at' h:mm:ss a 'WIB'", "second", 7),
+    ("yyyy.MM.dd HH:mm:ss 'UTC-03:30'", "second", -3.5),
+    ("d-MMM-yyyy", "day", 0),
+    ("'soon' yyyy", None, 0),
+    ("yyyy-MM-dd 25:61", None, 0),
+    ("d MMMM", None, 0),
+]
+_FORMS_SQL = " ".join(
+    f"WHEN {i} THEN " + ("NULL" if unit is None else q.stamp(f"date_trunc('{unit}', ts) - INTERVAL '{int(hours * 60)} minutes'"))
+    for i, (_, unit, hours) in enumerate(_FORMS)
+)
+
+
+@query(
+    "p31_time_forms",
+    f"""SELECT event_id, CASE event_id % {len(_FORMS)} {_FORMS_SQL} END AS time,
+          event_id % {len(_FORMS)} IN ({', '.join(str(i) for i, f in enumerate(_FORMS) if f[1] is None)}) AS lost
+        FROM events""",
+)
+def p31_forms(v):
+    number = F.col("event_id") % len(_FORMS)
+    text = F.coalesce(
+        *[F.when(number == i, F.date_format("ts", form)) for i, (form, _, _) in enumerate(_FORMS)]
+    )
+    rows = v.table("events").select("event_id", text.alias("text"))
+    rows = rows.withColumn("time", parse_time("text"))
+    return rows.select("event_id", "time", is_lost("text", "time").alias("lost"))
+
+
+@query(
+    "p30_export_losses",
+    """SELECT 'is_reply' AS "column", count(*) FILTER (is_reply_raw <> '') AS filled,
+         0::BIGINT AS lost FROM posts
+       UNION ALL SELECT 'like_count', count(*), count(*) FILTER (id % 3 = 0) FROM posts
+       UNION ALL SELECT 'created_at', count(*) FILTER (id % 4 <> 1), count(*) FILTER (id % 4 = 2)
+         FROM posts""",
+    "posts",
+)
+def p30_losses(v):
+    number = F.when(F.col("id") % 3 == 0, "many").otherwise(F.col("like_count").cast("string"))
+    time = (
+        F.when(F.col("id") % 4 == 1, " ")
+        .when(F.col("id") % 4 == 2, "yesterday")
+        .otherwise(F.date_format("created_at", "EEE, d MMM yyyy HH:mm:ss 'GMT'"))
+    )
+    rows = v.posts.select(
+        F.col("is_reply_raw").alias("is_reply"), number.alias("like_count"), time.alias("created_at")
+    )
+    return export_losses(rows)
+
+
 @query(
     "p18_to_bool",
     """SELECT id, lower(trim(is_reply_raw)) IN ('true', '1', 'yes') AS is_reply,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidepost.functions import columns as c
 from tidepost.functions import scores as s
+from tidepost.functions.times import parse_time
 from tidepost.operators import shape
 from tidepost.operators.reports import report_filter
 from tidepost.plans.export import coerce_export, export_frame
@@ -38,7 +39,7 @@ def test_numbers(column):
 def test_times(column):
     texts = ["2024-01-31 23:59:59", "2024-01-31T10:00:00Z", "31/01/2024", "bad", None]
     moment = dt.datetime(2024, 1, 31, 23, 59, 59)
-    got = column(texts, F.date_format(c.parse_time("x", ["dd/MM/yyyy"]), "yyyy-MM-dd HH"))
+    got = column(texts, F.date_format(parse_time("x", ["dd/MM/yyyy"]), "yyyy-MM-dd HH"))
     assert got == [moment.strftime("%Y-%m-%d %H"), "2024-01-31 10", "2024-01-31 00", None, None]
 
 
@@ -149,9 +150,9 @@ def test_times_as_scraped(column):
     texts = ["Fri Nov 24 17:49:36 +0000 2023", "24 Nov 2023 10:00:00", "2024/01/05 10:00",
              "Friday, 24 Nov 2023 10:00", "2023-11-24T10:00:00Z", "soon", "Frisbee", None,
              "Fri 24 Nov 2023 10:00:00 +0100"]
-    got = column(texts, F.date_format(c.parse_time("x"), "yyyy-MM-dd HH:mm:ss"))
+    got = column(texts, F.date_format(parse_time("x"), "yyyy-MM-dd HH:mm:ss"))
     assert got == ["2023-11-24 17:49:36", "2023-11-24 10:00:00", "2024-01-05 10:00:00",
                    "2023-11-24 10:00:00", "2023-11-24 10:00:00", None, None, None,
                    "2023-11-24 09:00:00"]
-    own = column(texts[:1], c.parse_time("x", ["EEE MMM dd HH:mm:ss Z yyyy"]).cast("string"))
+    own = column(texts[:1], parse_time("x", ["EEE MMM dd HH:mm:ss Z yyyy"]).cast("string"))
     assert own == ["2023-11-24 17:49:36"]

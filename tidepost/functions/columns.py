@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -43,32 +42,6 @@ def number_or_zero(c: Column | str) -> Column:
     return F.coalesce(to_double(c), F.lit(0.0))
 
 
-#: Forms of times that scraped text has besides ISO, without a leading weekday.
-TIME_FORMATS = (
-    "MMM d HH:mm:ss Z yyyy",
-    "d MMM yyyy HH:mm:ss Z",
-    "d MMM yyyy HH:mm:ss",
-    "d MMM yyyy HH:mm",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd HH:mm",
-    "yyyy/MM/dd",
-)
-
-
-def parse_time(c: Column | str, formats: Sequence[str] = ()) -> Column:
-    """Timestamp from text, bad text gives null; zone-less text is in the session zone (UTC).
-
-    ``formats`` are tried first, then ISO forms, then ``TIME_FORMATS``. A weekday in front is
-    skipped in text and formats, since Spark's patterns can't read one.
-    """
-    text = F.regexp_replace(_col(c).cast("string"), r"^\s*[A-Za-z]{3,9}(, *| +)(?=[A-Za-z0-9])", "")
-    text = F.when(_col(c).rlike(r"^\s*(?i:mon|tue|wed|thu|fri|sat|sun)"), text).otherwise(_col(c))
-    own = [re.sub(r"^E+,? *", "", f) for f in formats]
-    own = [F.try_to_timestamp(text, F.lit(f)) for f in own]
-    known = [F.try_to_timestamp(text, F.lit(f)) for f in TIME_FORMATS]
-    return F.coalesce(*own, text.try_cast("timestamp"), *known)
-
-
 def clean_label(c: Column | str) -> Column:
     return F.trim(F.lower(_col(c)))
 
