@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from tidepost import fixed
 from tidepost.operators.shape import rows_of, union_all
+from tidepost.session import materialize
 
-# Inverse of the relative rank error of the sketch that brackets an exact median: what is put in
-# order are the distinct values of less than a 6,000th of a group.
+# Inverse of the relative rank error of the sketch that divides values into intervals, the shares at
+# which they end, and the number of different values that are few enough to be put in order.
 _SKETCH = 50_000
+_QUANTILES = [i / 128 for i in range(1, 128)]
+RANKED_VALUES = 100_000
 
 
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
@@ -137,31 +140,58 @@ def mean_by(df: DataFrame, key: str, metrics: Sequence[str]) -> DataFrame:
 def median_by(df: DataFrame, key: str, metrics: Sequence[str], approx: bool = False) -> DataFrame:
     """Median of every metric per key, in long form; rows without a key are left out.
 
-    The exact median never gathers the values of a key: a sketch brackets it between two values
-    that are a small rank distance apart, values below the bracket are only counted, and just the
-    counted values inside it are put in order.
+    The exact median never gathers the values of a key. Values are counted and written; where a key
+    has more than ``RANKED_VALUES`` different ones, quantiles of them divide them into intervals, the
+    rows of each interval are counted, and only the intervals in which the middle lies are kept, again
+    and again until few values are left to be put in order.
     """
     long = unpivoted(df.filter(F.col(key).isNotNull()), key, metrics).filter("value IS NOT NULL")
     if approx:
         return long.groupBy(key, "metric").agg(
             F.percentile_approx("value", 0.5, _SKETCH).alias("median")
         )
-    slack = 4.0 / _SKETCH
-    brackets = long.groupBy(key, "metric").agg(
-        F.count(F.lit(1)).alias("_total"),
-        F.percentile_approx("value", [0.5 - slack, 0.5 + slack], _SKETCH).alias("_ends"),
+    by = [key, "metric"]
+    counted = long.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("_n"))
+    near = materialize(
+        counted.withColumns({"_below": F.lit(0).cast("bigint"), "_total": F.lit(None).cast("bigint")}),
+        "median-values",
     )
-    counted = long.groupBy(key, "metric", "value").agg(F.count(F.lit(1)).alias("_n"))
-    near = (
-        counted.join(brackets, [key, "metric"])
-        .filter(F.col("value") <= F.col("_ends")[1])
-        .withColumn("_value", F.when(F.col("value") >= F.col("_ends")[0], F.col("value")))
-        .groupBy(key, "metric", "_value")
-        .agg(F.sum("_n").alias("_n"), F.first("_total").alias("_total"))
-    )
-    in_order = Window.partitionBy(key, "metric").orderBy(F.col("_value").asc_nulls_first())
-    ranked = near.withColumn("_upto", F.sum("_n").over(in_order))
-    return ranked.groupBy(key, "metric").agg(median_of_counts("_value").alias("median"))
+    while True:
+        groups = near.groupBy(*by)
+        sizes = groups.agg(
+            F.count(F.lit(1)).alias("_values"),
+            F.sum("_n").alias("_rows"),
+            F.first("_total").alias("_known"),
+            F.percentile_approx("value", _QUANTILES, _SKETCH).alias("_edges"),
+        )
+        sizes = sizes.withColumn("_total", F.coalesce("_known", "_rows")).drop("_known", "_rows")
+        sizes = materialize(sizes, "median-sizes")
+        near = near.drop("_total").join(sizes, by)
+        if (sizes.agg(F.max("_values")).first()[0] or 0) <= RANKED_VALUES:
+            break
+        # an interval ends with its edge
+        slot = F.size(F.filter("_edges", lambda e: e < F.col("value")))
+        slots = near.withColumn("_slot", slot)
+        rows = slots.groupBy(*by, "_slot").agg(
+            F.sum("_n").alias("_rows"), F.first("_below").alias("_below"), F.first("_total").alias("_total")
+        )
+        upto = F.sum("_rows").over(Window.partitionBy(*by).orderBy("_slot")) + F.col("_below")
+        before = upto - F.col("_rows")
+        lower, upper = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
+        middle = rows.select(*by, "_slot", upto.alias("_upto"), before.alias("_before"), lower.alias("_lower"), upper.alias("_upper"))
+        middle = middle.filter((F.col("_upto") >= F.col("_lower")) & (F.col("_before") < F.col("_upper")))
+        middle = middle.groupBy(*by).agg(
+            F.min("_slot").alias("_from"), F.max("_slot").alias("_to"), F.min("_before").alias("_start")
+        )
+        near = materialize(
+            slots.join(middle, by)
+            .filter(F.col("_slot").between(F.col("_from"), F.col("_to")))
+            .select(*by, "value", "_n", F.col("_start").alias("_below"), "_total"),
+            "median-values",
+        )
+    in_order = Window.partitionBy(*by).orderBy("value")
+    ranked = near.withColumn("_upto", F.sum("_n").over(in_order) + F.col("_below"))
+    return ranked.groupBy(*by).agg(median_of_counts("value").alias("median"))
 
 
 def median_of_counts(value: str) -> Column:

@@ -7,14 +7,29 @@ task to its partition. Null keys form one group.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dedup(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
-    """One row per key: the first in ``order``, which must be total for a repeatable result."""
+def dedup(
+    df: DataFrame,
+    keys: Sequence[str | Column],
+    order: Sequence[str | Column],
+    keep_null_keys: bool = False,
+) -> DataFrame:
+    """One row per key: the first in ``order``, which must be total for a repeatable result.
+
+    Null is a key like others, so one of the rows without any key stays, as in ``dropDuplicates``; with
+    ``keep_null_keys`` all rows stay that lack all keys, as nothing tells that they are copies.
+    """
+    if keep_null_keys:
+        columns = [F.col(k) if isinstance(k, str) else k for k in keys]
+        none = functools.reduce(operator.and_, [c.isNull() for c in columns])
+        return dedup(df.filter(~none), keys, order).unionByName(df.filter(none))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 

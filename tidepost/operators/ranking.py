@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,8 +13,38 @@ from tidepost.session import materialize
 
 # Largest n that goes through Spark's top-k operator, which gathers n rows of every task.
 TOP_K_ROWS = 1_000
+# Rows of a range that are few enough to be sorted as one.
+RANGE_ROWS = 100_000
 
 _POSITION_BITS = 33
+#: Two hashes of a whole row that stand for it.
+_ROW = ["_row", "_again"]
+
+
+def row_hash(df: DataFrame, seed: int | None = None) -> Column:
+    """Hash of all columns; null differs from other values."""
+    parts = [] if seed is None else [F.lit(seed)]
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        parts += [column.isNull(), F.to_json(column) if "map" in kind or "variant" in kind else column]
+    return F.xxhash64(*parts)
+
+
+def _hashed(df: DataFrame) -> DataFrame:
+    return df.select("*", row_hash(df).alias(_ROW[0]), row_hash(df, 1).alias(_ROW[1]))
+
+
+def _fetched(df: DataFrame, places: DataFrame) -> DataFrame:
+    """Whole rows of ``places`` (the hashes, ``_times`` and other columns), each ``_times`` times.
+
+    Rows with the same hashes are equal, so where there are several, one of them stands for all;
+    ``_time`` numbers them from 0.
+    """
+    rows = _hashed(df)
+    if places.filter("_times > 1").isEmpty():
+        return rows.join(places, _ROW).withColumn("_time", F.lit(0))
+    times = F.explode(F.sequence(F.lit(0), F.col("_times") - 1))
+    return rows.dropDuplicates(_ROW).join(places, _ROW).withColumn("_time", times)
 
 
 def number_rows(
@@ -21,14 +52,16 @@ def number_rows(
 ) -> DataFrame:
     """Contiguous numbers in ``order``, which must be total.
 
-    One range shuffle: rows are sorted inside range partitions, and the increasing id of a row
-    holds its partition and its position there. The placed rows are written once, so that the
-    partition sizes (one row per partition, hence small) belong to the same placement.
+    Only what is compared and a hash of each row go into the range shuffle, and only the hash and a
+    place are written: the increasing id of a row holds its partition and its position there, and the
+    partition sizes (one row per partition, hence small) belong to the same placement. The columns are
+    fetched afterwards, by the hash. Rows that are equal in all columns get numbers of their own.
     """
     placed = (
-        df.repartitionByRange(*order)
+        _hashed(df)
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
+        .select(*_ROW, F.monotonically_increasing_id().alias("_place"))
     )
     placed = materialize(placed, "numbered").withColumn(
         "_part", F.shiftright("_place", _POSITION_BITS)
@@ -40,22 +73,63 @@ def number_rows(
         .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     )
     position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return placed.join(F.broadcast(starts), "_part").select(
-        *df.columns, (F.col("_start") + position + F.lit(start)).alias(name)
+    numbers = placed.join(F.broadcast(starts), "_part").select(
+        *_ROW, (F.col("_start") + position + F.lit(start)).alias("_number")
+    )
+    # equal rows stand together in a total order
+    equal = numbers.groupBy(*_ROW).agg(
+        F.min("_number").alias("_number"), F.count(F.lit(1)).alias("_times")
     )
+    number = (F.col("_number") + F.col("_time")).alias(name)
+    return _fetched(df, equal).select(*df.columns, number)
 
 
-def top_n(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
-    """The first ``n`` rows in ``order``, which must be total.
+def _first_places(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
+    """Hashes of the first ``n`` rows, sorting no more than one small range of them.
+
+    Rows are dealt to ranges and counted; ranges before the n-th row are in as a whole, and the rows of
+    the one that holds it are dealt again, until they are few.
+    """
+    chosen, current, need = [], _hashed(df), n
+    while True:
+        placed = current.repartitionByRange(*order).select(
+            *_ROW, F.spark_partition_id().alias("_part")
+        )
+        placed = materialize(placed, "ranges")
+        sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("rows")).collect()
+        before, border = 0, None
+        for part in sorted(sizes):
+            if before + part["rows"] > need:
+                border = part
+                break
+            before += part["rows"]
+        if border is None:
+            chosen.append(placed)
+            break
+        chosen.append(placed.filter(F.col("_part") < F.lit(border["_part"])))
+        need -= before
+        near = placed.filter(F.col("_part") == F.lit(border["_part"])).select(*_ROW).distinct()
+        current = current.join(near, _ROW, "left_semi")
+        if border["rows"] <= RANGE_ROWS or len(sizes) == 1:
+            chosen.append(current.orderBy(*order).limit(need))
+            break
+    return functools.reduce(DataFrame.unionByName, [c.select(*_ROW) for c in chosen])
+
+
+def top_n(
+    df: DataFrame, order: Sequence[str | Column], n: int, in_order: bool = True
+) -> DataFrame:
+    """The first ``n`` rows in ``order``, which must be total; in that order unless it isn't asked for.
 
-    Rows and their order are the same for any n. Up to ``TOP_K_ROWS`` Spark's top-k does it;
-    beyond, rows are cut off by number and sorted, because top-k would bring n rows of every task
-    to one task. Row numbers are written once while the frame is built.
+    Rows are the same for any n. Up to ``TOP_K_ROWS`` Spark's top-k does it; beyond, which would bring n
+    rows of every task to one task, rows are counted by range (``_first_places``) and the columns of the
+    chosen ones are fetched afterwards. Hashes of rows are written while the frame is built.
     """
     if n <= TOP_K_ROWS:
         return df.orderBy(*order).limit(n)
-    numbered = number_rows(df, order, "_number").filter(F.col("_number") <= n)
-    return numbered.orderBy("_number").drop("_number")
+    places = _first_places(df, order, n).groupBy(*_ROW).agg(F.count(F.lit(1)).alias("_times"))
+    found = _fetched(df, materialize(places, "first-places"))
+    return (found.orderBy(*order) if in_order else found).select(*df.columns)
 
 
 def smallest_scores(df: DataFrame, score: Column, n: int, bins: int = 65_536) -> DataFrame:

@@ -7,9 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepost.operators.ranking import smallest_scores, top_n
+from tidepost.operators.ranking import row_hash, smallest_scores, top_n
+from tidepost.session import materialize
 
-_BINS = 4096
+# Digits of the digest by which rows are counted at once, and rows that are few enough to be ranked.
+_DIGITS = 3
+_RANKED = 100_000
+_DIGEST = 32
 
 
 def _digest(key: Column | str, seed: int) -> Column:
@@ -45,8 +49,9 @@ def stratified_split(
 
     The evaluation part has ``ceil(eval_fraction * rows)`` rows, shared out over the labels by
     largest remainder. Where a label is missing or has one row only, the split ignores labels.
-    Rows with other labels are left out. No label is ranked as a whole: counts per hash bin tell
-    on which side a bin lies, and only inside bins (a 4096th of a label) rows are numbered.
+    Rows with other labels are left out. A row's part depends on the digest of its key: digests are
+    counted by their first digits, further digits only at the border (``_cuts``), and then compared
+    with the border; digests are written for it while the frame is built.
     """
     rows = df.filter(F.col(label).isin(list(labels)))
     n = F.count(F.lit(1))
@@ -56,7 +61,6 @@ def stratified_split(
         {
             "_stratum": F.when(stratify, F.col(label)).otherwise(F.lit("")),
             "_order": _digest(key, seed),
-            "_bin": F.floor(hash_unit(key, seed) * _BINS),
         }
     )
 
@@ -83,24 +87,51 @@ def stratified_split(
         (F.col("_base") + (F.col("_turn") <= F.col("_left")).cast("int")).alias("_train"),
     )
 
-    # At most len(labels) * 4096 rows.
-    earlier = Window.partitionBy("_stratum").orderBy("_bin").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    bins = (
-        marked.groupBy("_stratum", "_bin")
-        .agg(n.alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .join(F.broadcast(shares), "_stratum")
-        .select("_stratum", "_bin", (F.col("_train") - F.col("_before")).alias("_room"))
-    )
-    in_bin = Window.partitionBy("_stratum", "_bin").orderBy("_order", key)
-    return (
-        marked.join(F.broadcast(bins), ["_stratum", "_bin"])
-        .withColumn("_turn", F.row_number().over(in_bin))
-        .withColumn(name, F.when(F.col("_turn") <= F.col("_room"), "train").otherwise("eval"))
-        .select(*df.columns, name)
+    keys = materialize(marked.select("_stratum", "_order"), "split-keys")
+    placed = marked.join(F.broadcast(_borders(keys, shares)), "_stratum").withColumn(
+        "_head", F.substring(F.col("_order"), F.lit(1), F.length("_digits"))
     )
+    # rows with the border's digits are few; equal keys are told apart by the rest of their row
+    turn = F.row_number().over(Window.partitionBy("_stratum").orderBy("_order", key, "_row"))
+    near = placed.filter("_head = _digits").withColumn("_row", row_hash(df))
+    parts = [
+        (placed.filter("_head <> _digits"), F.col("_head") < F.col("_digits")),
+        (near.withColumn("_turn", turn), F.col("_turn") <= F.col("_room")),
+    ]
+    marks = [
+        part.select(*df.columns, F.when(train, "train").otherwise("eval").alias(name))
+        for part, train in parts
+    ]
+    return marks[0].unionByName(marks[1])
+
+
+def _borders(rows: DataFrame, shares: DataFrame) -> DataFrame:
+    """``_stratum, _digits, _room``: first digits of the digest of each stratum's last training row.
+
+    ``rows`` has ``_stratum`` and ``_order`` (the digest), ``shares`` the number of training rows; ``_room`` of
+    those with these digits are training rows. Rows are counted by their first digits, and only those
+    at which the number is reached are counted by the next ones, until at most ``_RANKED`` rows have
+    the digits. There is a row for each label.
+    """
+    border = shares.withColumnsRenamed({"_train": "_room"}).withColumn("_digits", F.lit(""))
+    for digits in range(_DIGITS, _DIGEST + _DIGITS, _DIGITS):
+        near = rows.join(F.broadcast(border), "_stratum").filter(
+            F.startswith("_order", F.col("_digits"))
+        )
+        left = near.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_n"))
+        if (left.agg(F.max("_n")).first()[0] or 0) <= _RANKED:
+            break
+        counts = near.groupBy(
+            "_stratum", "_room", F.substring("_order", 1, digits).alias("_digits")
+        ).agg(F.count(F.lit(1)).alias("_n"))
+        # at most 4096 rows a stratum
+        upto = F.sum("_n").over(Window.partitionBy("_stratum").orderBy("_digits"))
+        room = F.col("_room") - upto + F.col("_n")
+        reached = counts.withColumns({"_upto": upto, "_left": room})
+        first = F.min(F.struct("_digits", F.col("_left").alias("_room"))).alias("_first")
+        reached = reached.filter("_upto >= _room").groupBy("_stratum").agg(first)
+        border = materialize(reached.select("_stratum", "_first.*"), "split-border")
+    return border
 
 
 def fixed_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:

@@ -7,20 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepost.operators.ranking import most_uncertain, top_n
+from tidepost.operators.ranking import most_uncertain, row_hash, top_n
 from tidepost.operators.shape import align, drop_present, union_all
 from tidepost.session import materialize
 
 
-def _row_hash(df: DataFrame) -> Column:
-    """Hash of all columns; null differs from other values."""
-    parts = []
-    for name, kind in df.dtypes:
-        column = F.col(f"`{name}`")
-        parts += [column.isNull(), F.to_json(column) if "map" in kind or "variant" in kind else column]
-    return F.xxhash64(*parts)
-
-
 def select_candidates(
     scored: DataFrame,
     labelled_rows: int,
@@ -46,7 +37,7 @@ def select_candidates(
     columns = scored.columns
     if posts is not None:
         shared = [c for c in posts.columns if c in columns]
-        row = _row_hash(posts.select(*shared)).alias("__row")
+        row = row_hash(posts.select(*shared)).alias("__row")
         scored = scored.select(key, *[c for c in columns if c not in shared], row)
         ties = [*ties, "__row"]
     if needed and not written:
@@ -115,8 +106,8 @@ def assemble(
 def head_cut(
     df: DataFrame, priority: Column, order: Sequence[str | Column], target: int
 ) -> DataFrame:
-    """The first ``target`` rows by priority, then ``order``."""
-    return top_n(df, [priority.asc(), *order], target)
+    """The first ``target`` rows by priority, then ``order``; the rows come in any order."""
+    return top_n(df, [priority.asc(), *order], target, in_order=False)
 
 
 def summary(df: DataFrame, label: str, baseline: Column, review: str) -> DataFrame:
