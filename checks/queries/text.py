@@ -8,7 +8,7 @@ from checks.views import CATEGORIES, KEYWORDS, LOOKUP, STOPWORDS
 from tidepost.functions import text as t
 from tidepost.operators.dedup import dedup
 from tidepost.operators.counts import distribution
-from tidepost.operators.lookup import normalize_tokens_join
+from tidepost.operators.lookup import normalize_tokens_join, with_forms
 from tidepost.operators.shape import compute_once
 from tidepost.plans.ingest import clean_posts, keyword_filter, min_tokens, word_filter
 
@@ -32,6 +32,55 @@ def p4(v):
     return rows.select("doc_id", "lang")
 
 
+#: Two hundred keywords, of which the last ones occur.
+_MANY = [f"zq{i}x" for i in range(190)] + ["lic", "license", "e-mail", "une ", "der", ".com", "[", "(c)"]
+
+
+@query(
+    "p3_many_keywords",
+    "SELECT doc_id FROM documents WHERE "
+    + " OR ".join(f"contains(lower(text), '{k}')" for k in _MANY if not k.startswith("zq")),
+)
+def p3_many(v):
+    return keyword_filter(v.table("documents"), "text", _MANY).select("doc_id")
+
+
+@query(
+    "p4_many_words",
+    rf"""SELECT doc_id FROM documents
+         WHERE regexp_matches(lower(text), '(^|[^{q.W}])(the|une|license|e-mail)([^{q.W}]|$)')
+           OR contains(lower(text), 'of the')""",
+)
+def p4_many(v):
+    words = [f"zq{i}" for i in range(190)] + ["the", "une", "license", "e-mail"]
+    return word_filter(v.table("documents"), "text", words, ["of the"]).select("doc_id")
+
+
+@query(
+    "p12_large_dictionary",
+    f"SELECT doc_id, {q.forms(q.squeeze('lower(text)'))} AS text FROM documents",
+)
+def p12_large(v):
+    """The usual entries among as many others as make the dictionary too large for a plan."""
+    entries = {f"zq{i}x": f"form {i}" for i in range(40_000)} | LOOKUP
+    docs = v.table("documents").select("doc_id", t.squeeze(F.lower("text")).alias("text"))
+    return with_forms(docs, "text", entries)
+
+
+@query(
+    "j6_reduced_dictionary",
+    f"SELECT doc_id, {q.forms(q.squeeze('lower(text)'))} AS text FROM documents",
+)
+def j6_reduced(v):
+    """A dictionary table that is too large to be sent, but for the entries that occur."""
+    docs = v.table("documents").select("doc_id", t.squeeze(F.lower("text")).alias("text"))
+    others = v.spark.range(200_000).select(
+        F.concat(F.lit("zq"), "id").alias("token"), F.lit("form").alias("form")
+    )
+    known = v.spark.createDataFrame(list(LOOKUP.items()), "token string, form string")
+    return normalize_tokens_join(docs, "text", others.unionByName(known), broadcast_bytes=1 << 20)
+
+
 @query(
     "p5_clean_text",
     f"SELECT doc_id, {q.forms(q.clean('text'))} AS text_clean FROM documents",

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tidepost import fixed
 from tidepost.functions.columns import to_bool
-from tidepost.functions.text import clean_text, contains_any, contains_word, token_count
+from tidepost.functions.text import contains_any, contains_word, token_count
 from tidepost.operators.dedup import dedup
-from tidepost.operators.shape import compute_once, first_available, require
+from tidepost.operators.lookup import with_clean_text
+from tidepost.operators.shape import first_available, require
 
 
 def keyword_filter(df: DataFrame, column: str, keywords: Sequence[str]) -> DataFrame:
@@ -66,6 +67,6 @@ def clean_posts(
     key = first_available(raw, keys)
     relevant = keyword_filter(raw, "text", keywords)
     kept = dedup(relevant, [key], list(order) if order else raw.columns)
-    cleaned = compute_once(kept, text_clean=clean_text("text", lookup))
+    cleaned = with_clean_text(kept, "text", "text_clean", lookup)
     cleaned = min_tokens(cleaned, "text_clean", least)
     return with_ingestion_time(with_flags(cleaned, flags or {}))

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepost.functions.columns import clean_label, encode_label
-from tidepost.functions.text import clean_text
 from tidepost.operators.dedup import dedup
-from tidepost.operators.lookup import exclude_matches
+from tidepost.operators.lookup import exclude_matches, with_clean_text
 from tidepost.operators.shape import require, with_constants
 
 
@@ -39,8 +38,11 @@ def labelled_baseline(
     require(df, [label, text], "labelled posts")
     one_per_text = dedup(valid_labels(df, label, text, labels), [text], order)
     return with_constants(
-        one_per_text.withColumns(
-            {"label_id": encode_label(label, labels), "text_clean": clean_text(text, lookup)}
+        with_clean_text(
+            one_per_text.withColumn("label_id", encode_label(label, labels)),
+            text,
+            "text_clean",
+            lookup,
         ),
         label_source=source,
         review_required=False,
