@@ -19,7 +19,9 @@ from tidepost.operators.classify import (
 )
 from tidepost.operators.evaluate import classification_report
 from tidepost.operators.sampling import split_by_hash
-from tidepost.session import scratch_path
+from tidepost.operators.terms import choose_model, count_model, fitted_model, score_terms
+from tidepost.plans.labelling import valid_labels
+from tidepost.session import materialize, scratch_path
 
 _SCORED_SQL = """SELECT count(*) AS rows, count(*) AS sums_to_one, count(*) AS labelled
     FROM posts"""
@@ -104,6 +106,79 @@ def l4_python(v):
     return score_with_python(v.posts, load, "text", PROBS).select("id", *PROBS)
 
 
+def _bayes_sql(slots: int, smoothing: float, known: str, asked: str) -> str:
+    """Statements for the logits of naive Bayes: ``id, label, place, logit`` of the rows of ``asked``."""
+    terms = "list_filter(string_split(lower(coalesce(text, '')), ' '), lambda t: t <> '')"
+    slot = f"('0x' || substr(md5(t), 1, 8))::BIGINT % {slots}"
+    labels = ", ".join(f"({i}, '{x}')" for i, x in enumerate(LABELS))
+    return f"""classes(place, label) AS (VALUES {labels}),
+      seen AS (SELECT sentiment, {slot} AS slot FROM (SELECT sentiment, unnest({terms}) AS t FROM {known})),
+      counted AS (SELECT slot, sentiment, count(*) AS n FROM seen GROUP BY ALL),
+      sizes AS (SELECT place, label, (SELECT count(*) FROM seen WHERE sentiment = label) AS terms,
+          (SELECT count(*) FROM {known} k WHERE k.sentiment = label) AS texts FROM classes),
+      used AS (SELECT id, slot, count(*) AS times
+        FROM (SELECT id, {slot} AS slot FROM (SELECT id, unnest({terms}) AS t FROM {asked})) GROUP BY ALL),
+      logits AS (
+        SELECT a.id, s.label, s.place,
+          any_value(ln((s.texts + {smoothing}) / ((SELECT count(*) FROM {known}) + 3 * {smoothing})))
+          + coalesce(sum(u.times * ln((coalesce(c.n, 0) + {smoothing}) / (s.terms + {smoothing * slots}))), 0)
+            AS logit
+        FROM {asked} a CROSS JOIN sizes s LEFT JOIN used u ON u.id = a.id
+          LEFT JOIN counted c ON c.slot = u.slot AND c.sentiment = s.label
+        GROUP BY a.id, s.label, s.place)"""
+
+
+_POWER = "exp(max(logit) FILTER (label = '{}') - max(logit))"
+_POWERS = [_POWER.format(x) for x in LABELS]
+
+
+@query(
+    "l4_term_scores",
+    f"""WITH {_bayes_sql(4096, 1.0, 'valid', 'posts')}
+        SELECT id, {', '.join(
+            f"{q.r(f'{e} / ({" + ".join(_POWERS)})')} AS {p}" for e, p in zip(_POWERS, PROBS, strict=True)
+        )} FROM logits GROUP BY id""",
+    "valid",
+)
+def l4_terms(v):
+    """Every probability of a model that is a table of weights."""
+    known = valid_labels(v.labelled_raw, "sentiment", "text", LABELS)
+    model = materialize(count_model(known, "text", "sentiment", LABELS, slots=4096), "weights")
+    posts = v.posts.select("id", "text")
+    return score_terms(posts, model, "text", PROBS, slots=4096).select("id", *PROBS)
+
+
+_SMOOTHING = [0.01, 1.0, 100.0]
+
+
+def _accuracy_sql(smoothing: float) -> str:
+    part = f"{q.unit('id')} < 0.8"
+    best = "row_number() OVER (PARTITION BY id ORDER BY logit DESC, place)"
+    return f"""(WITH known AS (SELECT * FROM valid WHERE {part}),
+        asked AS (SELECT * FROM valid WHERE NOT ({part})),
+        {_bayes_sql(1024, smoothing, 'known', 'asked')}
+      SELECT coalesce(avg((l.label = a.sentiment)::INT), 0)
+      FROM (SELECT * FROM logits QUALIFY {best} = 1) l JOIN asked a ON a.id = l.id)"""
+
+
+@query(
+    "l3_model_choice",
+    f"""WITH found AS ({' UNION ALL '.join(
+        f"SELECT {i} AS setting, 'slots=1024, smoothing={x}' AS parameters, {_accuracy_sql(x)} AS accuracy"
+        for i, x in enumerate(_SMOOTHING)
+    )})
+    SELECT setting, parameters, {q.r('accuracy')} AS accuracy,
+      row_number() OVER (ORDER BY accuracy DESC, setting) = 1 AS chosen FROM found""",
+    "valid",
+)
+def l3_choice(v):
+    known = valid_labels(v.labelled_raw, "sentiment", "text", LABELS)
+    settings = [{"kind": "count", "slots": 1024, "smoothing": x} for x in _SMOOTHING]
+    _, table = choose_model(known, "text", "sentiment", LABELS, settings)
+    kind = F.regexp_replace("parameters", "^kind=count, ", "")
+    return table.withColumn("parameters", kind)
+
+
 @query(
     "l7_irony_model",
     f"""SELECT count(*) AS rows, count(DISTINCT id) AS ids,
@@ -112,20 +187,22 @@ def l4_python(v):
     "posts",
 )
 def l7_model(v):
-    classes = ["plain", "ironic"]
+    classes, probs, slots = ["plain", "ironic"], ["p0", "p1"], 1 << 12
     ironic = F.contains(F.lower("text"), F.lit(_THE))
     marked = v.posts.withColumn("irony", F.when(ironic, "ironic").otherwise("plain"))
     train, _ = split_by_hash(marked, "id")
-    model = train_text_classifier(train, "text", "irony", classes)
-    scored = irony_predictions(score(marked, model, "text", ["p0", "p1"]), "id", ["p0", "p1"])
+    model = materialize(fitted_model(train, "text", "irony", classes, slots=slots), "weights")
+    scored = score_terms(marked, model, "text", probs, slots)
+    predicted = irony_predictions(scored, "id", probs)
     truth = marked.select(F.col("id").cast("string").alias("id"), ironic.cast("int").alias("truth"))
+    checked = materialize(predicted.join(truth, "id"), "irony")
     rows, positive = F.count(F.lit(1)), F.sum("truth")
-    held_out = split_by_hash(scored.join(truth, "id"), "id")[1].agg(
+    held_out = split_by_hash(checked, "id")[1].agg(
         (F.count_if(F.col("truth") == F.col("sarcasm_label")) > F.greatest(positive, rows - positive))
     )
-    return scored.join(truth, "id").agg(
+    return checked.agg(
         rows.alias("rows"),
         F.count_distinct("id").alias("ids"),
         positive.alias("ironic"),
         F.every(F.col("sarcasm_confidence").between(0.5, 1)).alias("sure"),
-    ).withColumn("learned", held_out.scalar())
+    ).withColumn("learned", F.lit(held_out.first()[0]))

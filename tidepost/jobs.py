@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tidepost.operators import classify, evaluate
+from tidepost.operators import classify, evaluate, shape, terms
 from tidepost.operators.sampling import split_by_hash
 from tidepost.plans import active, export, ingest, labelling, merge
 from tidepost.session import build_session, scratch_scope
@@ -68,6 +68,24 @@ def separate(
     return counts | {"pool": write_stage(rest, pool)}
 
 
+def choose(
+    spark: SparkSession,
+    baseline: str,
+    model: str,
+    report: str,
+    labels: Sequence[str],
+    settings: Sequence[Mapping],
+    text: str = "text_clean",
+    label: str = "sentiment",
+    key: str = "id",
+) -> dict[str, int]:
+    """The best of several term models on held-out rows, and the accuracy of each."""
+    with scratch_scope(spark):
+        known = read_stage(spark, baseline)
+        best, table = terms.choose_model(known, text, label, labels, settings, key)
+        return {"weights": write_stage(best, model), "settings": write_stage(table, report)}
+
+
 def train(
     spark: SparkSession,
     baseline: str,
@@ -153,12 +171,23 @@ def load(
     target: str,
     fmt: str | None = None,
     copy: str | None = None,
+    by_month: str | None = None,
 ) -> dict[str, int]:
-    """The result table in a catalog or, with ``fmt``, at a path, and a CSV copy of it."""
-    return {"results": export.export_results(read_stage(spark, posts), target, fmt, copy)}
+    """The result table in a catalog or, with ``fmt``, at a path, and a CSV copy of it.
+
+    With ``by_month``, the name of a time, it is stored by month at the path. Values that could not be
+    cast are counted, by column.
+    """
+    final = read_stage(spark, posts)
+    rows = export.export_results(final, target, fmt, copy, by_month=by_month)
+    losses = export.export_losses(shape.project_map(final, export.EXPORT_COLUMNS)).filter("lost > 0")
+    return {"results": rows} | {f"lost {r['column']}": r["lost"] for r in losses.collect()}
 
 
-JOBS = {f.__name__: f for f in (clean, separate, train, select, predict_irony, resolve, load)}
+JOBS = {
+    f.__name__: f
+    for f in (clean, separate, choose, train, select, predict_irony, resolve, load)
+}
 
 
 def main(arguments: Sequence[str]) -> None:
