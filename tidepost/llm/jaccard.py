@@ -1,10 +1,12 @@
 """Join of texts whose sets of word shingles have a Jaccard similarity of 0.75 or more.
 
-T-occurrence search: texts x and y that are similar share at least T = ceil(0.75 |x|) shingles,
-which is to say that y occurs in at least T of the inverted lists of x's shingles. As in
-DivideSkip, the lists are divided by length. The |x| - T + 1 shortest are merged: every similar
-text occurs in one of them. The other, long lists are never merged; whether a candidate occurs in
-them is probed by binary search, and candidates with the required overlap are retained.
+The T-occurrence bound decides what is compared: texts x and y that are similar share at least
+T = ceil(0.75 |x|) shingles, so y occurs in one of the |x| - T + 1 shortest inverted lists of x's
+shingles. These short lists of both sides are joined, which gives the candidates; the long ones are
+never merged. This is less than T-occurrence search by name: occurrences are not counted over the merged
+lists, and no long inverted list is probed, since such a list has no single place in Spark. Each
+candidate pair's own sorted shingles are compared instead, by binary search, and pairs with the
+required overlap are retained.
 
 Equal sets are one class, and only classes are compared. A shingle of one class alone has a list
 that nobody shares, so it is counted but not kept; most texts end there.
