@@ -133,12 +133,12 @@ class Router:
 
 
 def learn_partitions(
-    x: np.ndarray, parts: int, neighbours: int, recall: float, seed: int = 1
+    x: np.ndarray, parts: int, neighbours: int, recall: float, seed: int = 1, every: int = 5
 ) -> tuple[Router, int]:
     """The classifier, and how many partitions a query has to visit for ``recall``.
 
-    The visits are counted on the sample: each row's true neighbours in the sample are looked for
-    in its most probable partitions.
+    Each ``every``-th row of the sample is kept from training. The visits are counted on those: their
+    true neighbours in the sample are looked for in their most probable partitions.
     """
     graph = neighbour_graph(x, min(neighbours, len(x) - 1))
     label = balanced_partitions(x, graph, parts, seed)
@@ -147,13 +147,16 @@ def learn_partitions(
     np.add.at(target, (np.repeat(np.arange(len(x)), graph.shape[1]), label[graph].ravel()), 1.0)
     target[np.arange(len(x)), label] += graph.shape[1] / 2
     target /= target.sum(axis=1, keepdims=True)
-    router = Router(x, target, 128, seed, 1500)
+    held_out = np.arange(len(x)) % every == every - 1 if len(x) >= 20 * every else np.ones(len(x), bool)
+    learned = np.flatnonzero(~held_out) if not held_out.all() else np.arange(len(x))
+    router = Router(x[learned], target[learned], 128, seed, 1500)
     probable = router(x)
     filed = probable.argmax(axis=1)
     order = np.argsort(-probable, axis=1)
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.arange(parts)[None], axis=1)
-    visit = np.sort(place[np.arange(len(x))[:, None], filed[graph]].ravel())
+    asked = np.flatnonzero(held_out)
+    visit = np.sort(place[asked[:, None], filed[graph[asked]]].ravel())
     visits = int(visit[min(len(visit) - 1, math.ceil(recall * len(visit)))]) + 1
     return router, visits
 
