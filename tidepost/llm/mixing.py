@@ -113,6 +113,30 @@ def round_group(units: Column, seed: int) -> Column:
     return F.aggregate(F.slice(units, F.lit(2), F.size(units)), first, step)
 
 
+def numbered_repeats(rows: DataFrame, most: int) -> DataFrame:
+    """``rows`` with ``number``: 0, or from 0 on within the rows of one hash that are more than ``most``.
+
+    Repeated rows are numbered in their part of the table, from where the parts before it end, so no
+    task sees all of them. ``h`` is the hash and ``row`` an increasing id that is written with the rows.
+    """
+    part = F.shiftright("row", 33)
+    hot = rows.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("h")
+    hot = save(hot, "mix-repeats")
+    met = rows.join(hot, "h", "left_semi").withColumn("part", part)
+    before = Window.partitionBy("h").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = met.groupBy("h", "part").agg(F.count("*").alias("n"))
+    parts = parts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    place = F.row_number().over(Window.partitionBy("h", "part").orderBy("row")) - 1
+    numbers = (
+        met.select("h", "part", "row", place.alias("place"))
+        .join(parts, ["h", "part"])
+        .select("row", (F.col("first") + F.col("place")).alias("number"))
+    )
+    if hot.isEmpty():
+        return rows.withColumn("number", F.lit(0).cast("long"))
+    return rows.join(numbers, "row", "left").withColumn("number", F.coalesce("number", F.lit(0)))
+
+
 def mix_sources(
     docs: DataFrame,
     share: float = 1.5,
@@ -129,7 +153,8 @@ def mix_sources(
     groups of about ``group`` rows, so a large source or class is many groups. Rounding walks
     through a group from the largest; the rest of each group meets the rests of its class, then
     those of its source, and the last one is rounded by chance. All choices follow hashes of id
-    and text, so reruns agree; rows that repeat id and text are interchangeable. Null text has no
+    and text, so reruns agree; rows that repeat id and text are interchangeable, and where they are
+    more than a group, they are numbered and dealt to the groups in turn. Null text has no
     words, null source is a source, an empty table gives no rows. A source without words has
     target 0 and takes nothing. ``keyed`` adds ``ROW_KEY``, made of id, source and text.
     """
@@ -144,9 +169,11 @@ def mix_sources(
             word_count(F.col("text")).alias("size"),
             h.alias("h"),
             (key if keyed else F.lit(None).cast("string")).alias("key"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "mix-rows",
     )
+    rows = numbered_repeats(rows, group)
     sizes = rows.groupBy("source_key").agg(
         F.first("source", True).alias("source"),
         F.sum("size").alias("source_size"),
@@ -177,7 +204,7 @@ def mix_sources(
         .select(
             "source_key",
             "rank",
-            F.pmod(F.shiftright("h", 20), F.col("buckets")).alias("bucket"),
+            F.pmod(F.shiftright("h", 20) + F.col("number"), F.col("buckets")).alias("bucket"),
             unit.alias("unit"),
         )
     )
