@@ -184,21 +184,25 @@ def token_pieces(
     return docs.select("doc_id", "text").mapInArrow(pieces, schema)
 
 
-def harmonic_pack(pieces: DataFrame, capacity: int = CAPACITY, per_group: int = 4096) -> DataFrame:
+def harmonic_pack(
+    pieces: DataFrame, capacity: int = CAPACITY, per_group: int = 16_384, number: str | None = None
+) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``.
 
     ``pieces`` is read several times and should be a written table. A class of many pieces is
-    dealt to groups of about ``per_group`` sequences by hash; each group fills its own sequences
-    and leaves one of them incomplete at most. Sequence ids count from 0 without gaps. All columns
-    are kept.
+    dealt to groups of about ``per_group`` pieces by hash; each group fills its own sequences
+    and leaves one of them incomplete at most. ``number`` names a column that tells equal pieces
+    apart, so that they are dealt to several groups too, and is dropped. Sequence ids count from 0
+    without gaps. All other columns are kept.
     """
     kind = F.greatest(
         *[F.when(F.col("length") <= capacity // k, F.lit(k).cast("long")) for k in CLASSES]
     )
     classed = pieces.withColumn("__kind", kind)
-    groups = F.ceil(F.count("*") / (F.col("__kind") * per_group)).cast("long")
+    groups = F.ceil(F.count("*") / F.lit(per_group)).cast("long")
     counts = classed.groupBy("__kind").agg(groups.alias("__groups"))
-    hashed = F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens")
+    own = [] if number is None else [number]
+    hashed = F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens", *own)
     dealt = classed.join(F.broadcast(counts), "__kind").withColumn(
         "__group", F.pmod(hashed, F.col("__groups"))
     )
@@ -208,7 +212,7 @@ def harmonic_pack(pieces: DataFrame, capacity: int = CAPACITY, per_group: int =
     before = Window.orderBy("__kind", "__group").rowsBetween(Window.unboundedPreceding, -1)
     first = F.coalesce(F.sum("__sequences").over(before), F.lit(0)).alias("__first")
     filled = filled.select("__kind", "__group", first)
-    order = ["doc_id", "start", "ids_crc32"]
+    order = ["doc_id", "start", "ids_crc32", *own]
     place = F.row_number().over(Window.partitionBy("__kind", "__group").orderBy(*order)) - 1
     placed = dealt.withColumn("__place", place).withColumn(
         "__sequence", F.floor(F.col("__place") / F.col("__kind"))
@@ -223,7 +227,7 @@ def harmonic_pack(pieces: DataFrame, capacity: int = CAPACITY, per_group: int =
         placed.withColumn("offset", offset)
         .join(filled, ["__kind", "__group"])
         .withColumn("sequence_id", F.col("__first") + F.col("__sequence"))
-        .select(*pieces.columns, "sequence_id", "offset")
+        .select(*[c for c in pieces.columns if c != number], "sequence_id", "offset")
     )
 
 
@@ -231,8 +235,10 @@ def pack_documents(
     docs: DataFrame, capacity: int = CAPACITY, keep_ids: bool = False, added: bool = False
 ) -> DataFrame:
     """Tokenise all documents, cut them and pack the pieces (``added``: see ``token_pieces``)."""
-    pieces = save(token_pieces(docs, capacity, keep_ids=keep_ids, added=added), "pack-pieces")
-    return harmonic_pack(pieces, capacity)
+    pieces = token_pieces(docs, capacity, keep_ids=keep_ids, added=added)
+    # written with the pieces, so that a piece keeps its number
+    pieces = save(pieces.withColumn("__number", F.monotonically_increasing_id()), "pack-pieces")
+    return harmonic_pack(pieces, capacity, number="__number")
 
 
 def sequences(packed: DataFrame, capacity: int = CAPACITY, pad_id: int = END_ID) -> DataFrame:
