@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidepost.llm import exact, jaccard, language, mixing, packing
-from tidepost.llm.common import save, table
+from tidepost.llm.common import table
+from tidepost.session import remove_path, scratch_path, scratch_scope
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +51,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each one's rows are written and read again.
+
+    A stage's intermediate tables are removed when its rows are written, and the rows before them too.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = save(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before is not None:
+            remove_path(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

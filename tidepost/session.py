@@ -76,10 +76,14 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCOPE.reset(token)
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for path in given:
-            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(conf).delete(folder, True)
+            remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
