@@ -3,6 +3,11 @@
 ``BENCH_SF_DIR`` is the table folder, ``BENCH_CPUS`` the number of local cores, ``BENCH_RUNS`` the
 number of timed runs after one warm run (the median counts), ``BENCH_QUERIES`` an optional list of
 name prefixes. Every run computes all rows and columns and drops them in a no-op sink.
+
+``BENCH_REPEAT=n`` measures how queries grow: they run on the tables as they are and on tables whose
+documents, labels and events are repeated n times under new ids (written to a temporary folder), and
+``growth`` has the ratio of the times; n is what work in proportion would give, less the fixed cost of a
+query. ``fit`` and ``score`` of the term model are timed apart.
 """
 
 from __future__ import annotations
@@ -11,9 +16,14 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
+from pathlib import Path
+
+from pyspark.sql import functions as F
 
 from checks.queries import QUERIES
+from tidepost.operators.terms import count_model, score_terms
 from tidepost.session import build_session
 
 HEADLINE = [
@@ -54,6 +64,46 @@ HEADLINE = [
 ]
 
 
+def repeated_tables(spark, folder: str, times: int) -> str:
+    """The tables with documents, labels and events repeated under new ids, in a new folder."""
+    target = tempfile.mkdtemp(prefix="bench-")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").agg(F.max("doc_id") + 1).first()[0]
+    ids = {"documents": ("doc_id", docs), "labels": ("doc_id", docs), "events": ("event_id", 5 * docs)}
+    copies = spark.range(times).select(F.col("id").alias("_copy"))
+    for path in sorted(Path(folder).glob("*.parquet")):
+        df = spark.read.parquet(str(path))
+        if path.stem in ids:
+            key, shift = ids[path.stem]
+            # events beyond the documents' would meet those of the next copy
+            rows = df.filter(F.col(key) < shift).join(F.broadcast(copies))
+            df = rows.withColumn(key, F.col(key) + F.col("_copy") * shift).drop("_copy")
+            df = df.repartition(16)
+        df.write.parquet(f"{target}/{path.name}")
+    return target
+
+
+def median_seconds(run, runs: int) -> float:
+    spent = []
+    for _ in range(runs + 1):
+        start = time.perf_counter()
+        run()
+        spent.append(time.perf_counter() - start)
+    return round(statistics.median(spent[1:]), 3)
+
+
+def fit_and_score(spark, folder: str, runs: int) -> dict[str, float]:
+    """Seconds to count a term model, and to score all documents with it."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    known = docs.filter("lang IS NOT NULL")
+    langs = sorted(r[0] for r in known.select("lang").distinct().collect())
+    model = count_model(known, "text", "lang", langs, slots=1 << 14)
+    path = f"{tempfile.mkdtemp(prefix='bench-')}/model"
+    fit = median_seconds(lambda: model.write.mode("overwrite").parquet(path), runs)
+    scored = score_terms(docs, spark.read.parquet(path), "text", [f"p{i}" for i in range(len(langs))], 1 << 14)
+    score = median_seconds(lambda: scored.write.format("noop").mode("overwrite").save(), runs)
+    return {"fit": fit, "score": score}
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "4")
@@ -73,15 +123,15 @@ def main() -> None:
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("OFF")
-    times = {}
-    for name in names:
-        spent = []
-        for _ in range(runs + 1):
-            start = time.perf_counter()
+    def timed(name: str, folder: str) -> float:
+        def run():
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-            spent.append(time.perf_counter() - start)
-        times[name] = round(statistics.median(spent[1:]), 3)
-        print(f"{name}: {times[name]}", file=sys.stderr)
+
+        seconds = median_seconds(run, runs)
+        print(f"{name}: {seconds}", file=sys.stderr)
+        return seconds
+
+    times = {name: timed(name, folder) for name in names}
     result = {
         "metric": "total_query_seconds",
         "value": round(sum(times.values()), 3),
@@ -90,6 +140,11 @@ def main() -> None:
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
         "cpus": cpus,
     }
+    if repeat := int(os.environ.get("BENCH_REPEAT", "0")):
+        larger = repeated_tables(spark, folder, repeat)
+        result["repeated"] = {name: timed(name, larger) for name in names}
+        result["growth"] = {n: round(result["repeated"][n] / max(times[n], 1e-3), 2) for n in names}
+        result["model"] = {"once": fit_and_score(spark, folder, runs), "repeated": fit_and_score(spark, larger, runs)}
     print(json.dumps(result))
     spark.stop()
 

@@ -310,6 +310,13 @@ def test_from_raw_files_to_the_result_table(spark, tmp_path):
     jobs.train(spark, path("baseline"), path("model"), path("report"), LABELS, PROBS, features=1024)
     assert jobs.select(spark, path("baseline"), path("pool"), path("model"), path("learning"), 100,
                        LABELS, PROBS) == {"selected": 100}
+    settings = [{"kind": "count", "slots": 64}, {"kind": "count", "slots": 512}]
+    jobs.choose(spark, path("baseline"), path("weights"), path("choice"), LABELS, settings)
+    choice = files.read_stage(spark, path("choice")).orderBy("setting").collect()
+    assert [r["parameters"] for r in choice] == ["kind=count, slots=64", "kind=count, slots=512"]
+    slots = next(settings[r["setting"]]["slots"] for r in choice if r["chosen"])
+    assert jobs.select(spark, path("baseline"), path("pool"), path("weights"), path("other"), 100,
+                       LABELS, PROBS, slots=slots) == {"selected": 100}
     assert set(scratch.iterdir()) == before
     whole = files.read_stage(spark, path("learning"))
 

@@ -46,6 +46,14 @@ def test_no_users_at_all(posts):
     assert explore.top_share(empty, "user").first()["top_posts"] == 0
 
 
+def test_rows_without_a_label_are_counted_but_not_averaged(frame):
+    df = frame([("a", 1, 2.0), ("a", 0, 4.0), (None, 1, 9.0)], "label string, irony int, x double")
+    grouped = reports.irony_by_label(df, "irony", "label", {0: "no", 1: "yes"}).collect()
+    assert sum(r["count"] for r in grouped) == 3 and None in {r["label"] for r in grouped}
+    assert [(r["label"], r["mean"]) for r in counts.mean_by(df, "label", ["x"]).collect()] == [("a", 3.0)]
+    assert [(r["label"], r["median"]) for r in counts.median_by(df, "label", ["x"]).collect()] == [("a", 3.0)]
+
+
 @pytest.mark.parametrize("kind", ["ints", "heavy", "floats", "pair"])
 def test_exact_median(spark, kind):
     rng = random.Random(3)

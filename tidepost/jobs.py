@@ -11,7 +11,7 @@ import json
 import sys
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepost.operators import classify, evaluate, shape, terms
@@ -31,6 +31,20 @@ def _lookup(spark: SparkSession, dictionary: str | None) -> dict[str, str] | Non
     return None if dictionary is None else load_lookup(spark, dictionary)
 
 
+def _scored(
+    spark: SparkSession,
+    posts: DataFrame,
+    model: str,
+    text: str,
+    probs: Sequence[str],
+    slots: int | None,
+) -> DataFrame:
+    """Probabilities by a fitted pipeline, or by a table of term weights with so many slots."""
+    if slots is None:
+        return classify.score(posts, classify.load_model(model), text, probs)
+    return terms.score_terms(posts, read_stage(spark, model), text, probs, slots)
+
+
 def clean(
     spark: SparkSession,
     sources: Sequence[str],
@@ -121,12 +135,16 @@ def select(
     probs: Sequence[str],
     text: str = "text_clean",
     key: str = "id",
+    slots: int | None = None,
 ) -> dict[str, int]:
-    """The baseline, filled up to ``rows`` with the least certain posts of the pool."""
+    """The baseline, filled up to ``rows`` with the least certain posts of the pool.
+
+    ``slots`` is given for a model that ``choose`` has written.
+    """
     known, posts = read_stage(spark, baseline), read_stage(spark, pool)
     with scratch_scope(spark):
         scored = classify.with_uncertainty(
-            classify.score(posts, classify.load_model(model), text, probs), probs, labels
+            _scored(spark, posts, model, text, probs, slots), probs, labels
         )
         chosen = active.select_candidates(
             scored, known.count(), rows, [key], posts=posts, key=key
@@ -143,9 +161,10 @@ def predict_irony(
     probs: Sequence[str] = ("p_plain", "p_ironic"),
     text: str = "text_clean",
     key: str = "id",
+    slots: int | None = None,
 ) -> dict[str, int]:
-    """Class and confidence of a two-class model for each post."""
-    scored = classify.score(read_stage(spark, posts), classify.load_model(model), text, probs)
+    """Class and confidence of a two-class model for each post (``slots``: see ``select``)."""
+    scored = _scored(spark, read_stage(spark, posts), model, text, probs, slots)
     return {"predictions": write_stage(classify.irony_predictions(scored, key, probs), target)}
 
 

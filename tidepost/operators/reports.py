@@ -1,7 +1,9 @@
 """Report aggregates over the final table.
 
 Labels are few, so every aggregate is partial in the tasks first and nothing is windowed per
-label over the table; windows run over grouped rows only.
+label over the table; windows run over grouped rows only. Rows without a label are a group of their
+own wherever rows are counted, so that the groups add up to all rows; means and medians by label
+(``counts.mean_by``, ``counts.median_by``) leave them out.
 """
 
 from __future__ import annotations

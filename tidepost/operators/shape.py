@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import functools
+import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+logger = logging.getLogger(__name__)
+
 
 def require(df: DataFrame, columns: Sequence[str], what: str = "input") -> DataFrame:
     """Fail at plan time with one message that names every missing column."""
@@ -48,8 +51,10 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def project_map(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Select and rename by ``{source: target}``; absent sources are skipped."""
+    """Select and rename by ``{source: target}``; absent sources are skipped and named in the log."""
     present = [F.col(s).alias(t) for s, t in mapping.items() if s in df.columns]
+    if absent := [s for s in mapping if s not in df.columns]:
+        logger.warning("columns %s are absent and skipped", absent)
     if not present:
         raise ValueError(f"none of {list(mapping)} in {df.columns}")
     return df.select(*present)
