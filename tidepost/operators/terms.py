@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizerModel
@@ -186,8 +187,10 @@ def choose_model(
         scored = scored.withColumn("_predicted", best_label(names, labels))
         return model, accuracy(scored, label, "_predicted", labels)
 
+    # each thread works in a copy of this context, so that its tables belong to the same scratch scope
+    contexts = [copy_context() for _ in settings]
     with ThreadPoolExecutor(parallel) as pool:
-        learned = list(pool.map(learn, settings))
+        learned = list(pool.map(lambda context, s: context.run(learn, s), contexts, settings))
     best = max(range(len(learned)), key=lambda i: (learned[i][1], -i))
     rows = [
         (i, ", ".join(f"{k}={v}" for k, v in s.items()), a, i == best)
