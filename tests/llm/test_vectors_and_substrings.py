@@ -2,14 +2,31 @@
 
 import hashlib
 import random
+import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidepost.llm import chat, common, language, nearest, negatives, substrings, suffixes, toxicity, whitening
+import corpus_pipeline
+from tidepost.llm import (
+    chat,
+    common,
+    language,
+    mixing,
+    nearest,
+    negatives,
+    packing,
+    substrings,
+    suffixes,
+    toxicity,
+    whitening,
+)
+from tidepost.llm.common import save
 from tidepost.llm.queries import QUERIES
+from tidepost.session import scratch_dir
 
 FOLDER = "/root/testdata/sf0.001"
 VECTORS = "vec_id bigint, embedding array<double>, label int, x string, anchor int, weight int"
@@ -416,3 +433,95 @@ def test_sample_is_the_first_of_each_language_by_hash(spark):
     for lang in ("de", "en", "fr"):
         wanted = sorted((r.h, r.text) for r in hashed if r.lang == lang)[:40]
         assert sorted(r.piece for r in pieces if r.lang == lang) == sorted(t for _, t in wanted)
+
+
+# equal rows, and the last two stages of the pipeline
+
+
+def test_equal_rows_are_numbered_without_gaps(spark):
+    rows = spark.range(5000).selectExpr("if(id % 3 = 0, 7, id + 10) as h").repartition(6)
+    rows = save(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    got = mixing.numbered_repeats(rows, 10).collect()
+    assert sorted(r.number for r in got if r.h == 7) == list(range(1667))
+    assert {r.number for r in got if r.h != 7} == {0} and len(got) == 5000
+
+
+def test_many_equal_rows_are_mixed(spark):
+    docs = spark.range(20_000).selectExpr(
+        "cast(null as bigint) as doc_id", "'a b c' as text",
+        "if(id % 4 = 0, cast(null as string), if(id % 4 = 1, 'x', 'y')) as source",
+    )
+    got = mixing.mix_sources(docs.repartition(5)).groupBy("source_size").agg(
+        F.count("*").alias("n"), F.sum("taken").alias("taken"), F.first("target").alias("target"),
+        F.max("copies").alias("most"),
+    )
+    again = mixing.mix_sources(docs.repartition(3)).agg(F.sum("taken")).first()[0]
+    rows = got.collect()
+    assert sum(r.n for r in rows) == 20_000 and sum(r.taken for r in rows) == again
+    assert max(r.most for r in rows) <= 2
+    # half as much again as all words, but for a text of each source
+    assert abs(again - 1.5 * 60_000) <= 9
+
+
+def test_many_equal_pieces_are_dealt_to_groups(spark):
+    docs = spark.range(40_000).selectExpr("cast(null as bigint) as doc_id", "'' as text")
+    packed = packing.pack_documents(docs.repartition(4), added=True)
+    assert packed.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    filled = packed.groupBy("sequence_id").agg(
+        F.sum("length").alias("ids"), F.count("*").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")
+    )
+    rows = filled.collect()
+    assert sum(r.n for r in rows) == 40_000 and all(r.ids == r.end <= 2048 for r in rows)
+    assert sorted(r.sequence_id for r in rows) == list(range(len(rows)))
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "__number" in plan
+
+
+def test_mixing_and_packing_stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    mixed = save(stages["mixing"](spark, docs, FOLDER), "mixed")
+    assert mixed.columns == docs.columns
+    copies = {r.doc_id: r.copies for r in mixing.mix_sources(docs).collect()}
+    rows = mixed.collect()
+    assert Counter(r.doc_id for r in rows) == Counter({i: n for i, n in copies.items() if n})
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert all((r.text or "") == texts[r.doc_id] for r in rows)
+
+    import public_tokenizers
+    import tokenizers
+
+    coder = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = stages["packing"](spark, mixed, FOLDER).collect()
+    by_doc = defaultdict(Counter)
+    for p in pieces:
+        by_doc[p.doc_id][p.start, p.length, p.ids_crc32, p.doc_tokens] += 1
+    for i, often in copies.items():
+        if not often:
+            assert i not in by_doc
+            continue
+        ids = np.array([*coder.encode(texts[i], add_special_tokens=False).ids, 1], dtype="<u4")
+        at = 0
+        for (start, length, crc, tokens), n in sorted(by_doc[i].items()):
+            assert (start, n, tokens) == (at, often, len(ids))
+            assert crc == zlib.crc32(ids[start : start + length].tobytes())
+            at += length
+        assert at == len(ids)
+    places = defaultdict(list)
+    for p in pieces:
+        places[p.sequence_id].append((p.offset, p.length))
+    assert sorted(places) == list(range(len(places)))
+    for spans in places.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
+
+def test_pipeline_removes_its_tables(spark):
+    scratch = Path(scratch_dir(spark))
+    before = set(scratch.iterdir())
+    out = corpus_pipeline.run(spark, FOLDER)
+    left = {p.name.split("-")[0] for p in set(scratch.iterdir()) - before}
+    assert out.count() > 0 and left <= {"pipeline", "pack"}
