@@ -15,7 +15,7 @@ from tidepost.session import materialize
 # which they end, and the number of different values that are few enough to be put in order.
 _SKETCH = 50_000
 _QUANTILES = [i / 128 for i in range(1, 128)]
-RANKED_VALUES = 100_000
+RANKED_VALUES = 1_000_000
 
 
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
@@ -160,18 +160,16 @@ def median_by(df: DataFrame, key: str, metrics: Sequence[str], approx: bool = Fa
         groups = near.groupBy(*by)
         sizes = groups.agg(
             F.count(F.lit(1)).alias("_values"),
-            F.sum("_n").alias("_rows"),
-            F.first("_total").alias("_known"),
-            F.percentile_approx("value", _QUANTILES, _SKETCH).alias("_edges"),
+            F.coalesce(F.first("_total"), F.sum("_n")).alias("_total"),
         )
-        sizes = sizes.withColumn("_total", F.coalesce("_known", "_rows")).drop("_known", "_rows")
         sizes = materialize(sizes, "median-sizes")
         near = near.drop("_total").join(sizes, by)
         if (sizes.agg(F.max("_values")).first()[0] or 0) <= RANKED_VALUES:
             break
+        edges = groups.agg(F.percentile_approx("value", _QUANTILES, _SKETCH).alias("_edges"))
         # an interval ends with its edge
         slot = F.size(F.filter("_edges", lambda e: e < F.col("value")))
-        slots = near.withColumn("_slot", slot)
+        slots = near.join(materialize(edges, "median-edges"), by).withColumn("_slot", slot)
         rows = slots.groupBy(*by, "_slot").agg(
             F.sum("_n").alias("_rows"), F.first("_below").alias("_below"), F.first("_total").alias("_total")
         )
