@@ -183,7 +183,7 @@ def a10_approx(v):
     )
     return (
         counts.unpivoted(rows, "l_returnflag", _PRICED)
-        .join(medians, ["l_returnflag", "metric"])
+        .join(F.broadcast(medians), ["l_returnflag", "metric"])  # a row for each flag and metric
         .groupBy("l_returnflag", "metric")
         .agg(n.alias("rows"), near.alias("near"))
     )

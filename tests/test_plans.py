@@ -1,6 +1,7 @@
 """Physical plans: what must not and what must be in them."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from tidepost.functions.text import clean_text
 from tidepost.operators.dedup import dedup
 from tidepost.operators.lookup import attach_predictions, exclude_matches
 from tidepost.operators.shape import compute_once
+from tidepost.plans import labelling
+from tidepost import session
+from tidepost.session import scratch_scope
 from tidepost.sources.files import load_results
 
 FOLDER = "/root/testdata/sf0.001"
@@ -145,3 +149,9 @@ def test_keys_of_different_width_meet(spark):
     left = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     right = spark.createDataFrame([(2,)], "k bigint")
     assert [r["k"] for r in exclude_matches(left, right, "k").orderBy("k").collect()] == [None, 1]
+
+
+def test_sketched_medians_meet_their_rows_without_a_shuffle(spark, merge_joins):
+    """Six keys would be six tasks that sort all rows."""
+    plan = before_running(QUERIES["a10_median_approx"](spark, FOLDER))
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
