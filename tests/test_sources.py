@@ -151,3 +151,17 @@ def test_reports_read_only_their_months(spark, tmp_path):
     assert "GreaterThanOrEqual(created_at" in plan
     assert len(part.inputFiles()) <= len(stored.inputFiles())
     assert files.load_results(stored, ["id"]).count() == 1999
+
+
+def test_stages_have_more_parts_where_their_input_is_large(spark, tmp_path, monkeypatch):
+    source, target = str(tmp_path / "the source"), str(tmp_path / "target")
+    spark.range(5000).withColumn("t", F.sha2(F.col("id").cast("string"), 256)).repartition(2).write.parquet(source)
+    rows = spark.read.parquet(source)
+    size = sum(f.stat().st_size for f in Path(source).glob("*.parquet"))
+    assert files.input_bytes(rows) == size and files.input_bytes(spark.range(3)) == 0
+    parts = lambda: len(list(Path(target).glob("*.parquet")))
+    assert files.write_stage(rows, target, 3) == 5000 and parts() == 3
+    monkeypatch.setattr(files, "PART_BYTES", size // 10)
+    assert files.write_stage(rows, target, 3) == 5000 and parts() in (10, 11)
+    assert files.write_stage(spark.range(50), target, 3) == 50 and parts() == 3
+    assert ids(spark.read.parquet(target)) == list(range(50))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import logging
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,6 +19,9 @@ from tidepost.sources.replace import FOLDER_FORMATS, replace_folder, replace_tab
 
 logger = logging.getLogger(__name__)
 
+#: Bytes of the files that a table comes from for each task that writes it.
+PART_BYTES = 128 * 1024 * 1024
+
 
 def read_posts_csv(
     spark: SparkSession,
@@ -115,6 +119,15 @@ def read_stage(
     return df if columns is None else df.select(*columns)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of all files that a frame reads, 0 if there are none."""
+    files = [literal_path(unquote(f)) for f in df.inputFiles()]
+    if not files:
+        return 0
+    found = df.sparkSession.read.format("binaryFile").load(files)  # only lengths are read
+    return found.agg(F.sum("length")).first()[0] or 0
+
+
 def write_stage(
     df: DataFrame,
     path: str,
@@ -127,10 +140,11 @@ def write_stage(
     The new table is swapped in when it is complete, so ``df`` may read the old one, which stays if
     the job fails. Rows are written where they are and counted meanwhile. ``partitions`` or
     ``rebalance`` (files sized by adaptive execution) shuffle the table first; ``partition_by`` makes a
-    folder for each value of these columns.
+    folder for each value of these columns. There are more than ``partitions`` where the files that the
+    table comes from have more than ``PART_BYTES`` for each, so that a task's share does not grow.
     """
     if partitions is not None:
-        df = df.repartition(partitions)
+        df = df.repartition(max(partitions, -(-input_bytes(df) // PART_BYTES)))
     elif rebalance:
         df = df.hint("rebalance")
     options = {"compression": "snappy"}
