@@ -49,6 +49,18 @@ def s3(v):
     return read_labelled_csv(v.spark, [path]).select("id", "url", "text", "sentiment")
 
 
+def write_lines(lines, header, path):
+    """Add text files of lines, each with the header first, and one that has only the header.
+
+    Every task writes a file of its own, so that none holds all rows.
+    """
+    lines.sparkSession.range(1).select(F.lit(header)).write.mode("append").text(path)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    value = F.col("value")
+    headed = F.when(place == 0, F.concat(F.lit(f"{header}\n"), value)).otherwise(value)
+    lines.select(headed.alias("value")).write.mode("append").text(path)
+
+
 _HEADERS = ["id", "url", "lang"], ["lang", "id", "view_count"], ["url", "id"]
 
 
@@ -77,9 +89,7 @@ def s1_headers(v):
     }
     for digit, line in cells.items():
         lines = v.posts.filter(F.col("id") % 10 == digit).select(line.alias("value"))
-        head = v.spark.range(1).select(F.lit("id,url").alias("value"))
-        both = head.withColumn("at", F.lit(0)).unionByName(lines.withColumn("at", F.lit(1)))
-        both.coalesce(1).sortWithinPartitions("at").select("value").write.mode("append").text(path)
+        write_lines(lines, "id,url", path)
     posts = read_posts_csv(v.spark, [path], malformed="bad")
     return posts.select(
         "id", "url", "lang", "view_count", F.col("bad").isNotNull().alias("malformed")
@@ -95,9 +105,7 @@ def s1_malformed(v):
     path = scratch_path(v.spark, "malformed")
     surplus = F.when(F.col("id") % 4 == 0, F.lit(",x")).otherwise(F.lit(""))
     lines = v.posts.select(F.concat(F.concat_ws(",", "id", "lang"), surplus).alias("value"))
-    head = v.spark.range(1).select(F.lit("id,lang").alias("value"), F.lit(0).alias("at"))
-    both = head.unionByName(lines.withColumn("at", F.lit(1))).coalesce(1)
-    both.sortWithinPartitions("at").select("value").write.text(path)
+    write_lines(lines, "id,lang", path)
     counts = malformed_rows(read_posts_csv(v.spark, [path], malformed="bad"), "bad")
     return counts.agg(
         F.sum("rows").alias("rows"), F.sum("malformed_rows").alias("malformed_rows")

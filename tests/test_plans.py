@@ -155,3 +155,15 @@ def test_sketched_medians_meet_their_rows_without_a_shuffle(spark, merge_joins):
     """Six keys would be six tasks that sort all rows."""
     plan = before_running(QUERIES["a10_median_approx"](spark, FOLDER))
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("name, header", [("s1_malformed_rows", "id,lang"), ("s1_headers", "id,url")])
+def test_files_of_lines_are_written_by_many_tasks(spark, merge_joins, name, header):
+    query = {"s1_headers": "s1_mixed_headers"}.get(name, name)
+    with scratch_scope(spark):
+        assert QUERIES[query](spark, FOLDER).collect()
+        (path,) = [p for p in session._SCOPE.get() if re.search("malformed|mixed", p)]
+        files = [f for f in Path(path).glob("part-*.txt") if f.stat().st_size]
+        lines = [f.read_text().splitlines() for f in files]
+    assert len(files) > 4 and all(x[0] == header and header not in x[1:] for x in lines)
+    assert max(map(len, lines)) < sum(map(len, lines)) / 3
