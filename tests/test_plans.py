@@ -151,6 +151,39 @@ def test_keys_of_different_width_meet(spark):
     assert [r["k"] for r in exclude_matches(left, right, "k").orderBy("k").collect()] == [None, 1]
 
 
+def exchanged(df):
+    """Columns that go through each shuffle of a plan."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", df._jdf.queryExecution().explainString(mode))
+
+
+def test_pool_shuffles_digests_and_what_is_asked_for(spark, merge_joins, tmp_path, monkeypatch):
+    """No text meets the baseline or the other copies, and the baseline is read once."""
+    monkeypatch.setattr(labelling, "BROADCAST_BYTES", 0)
+    path = str(tmp_path / "posts")
+    number = F.col("id").cast("string")
+    posts = spark.range(1000).select(
+        "id",
+        F.when(F.col("id") % 10 > 0, F.concat(F.lit("u"), number)).alias("url"),
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("t"), number)).alias("text"),
+        (F.col("id") % 300).cast("string").alias("text_clean"),
+    )
+    posts.write.parquet(path)
+    posts = spark.read.parquet(path)
+    pool = labelling.unlabelled_pool(posts, posts.filter("id % 3 = 0"), ["id"])
+    narrow = pool.select("id", "label_source")
+    columns = exchanged(narrow)
+    assert len(columns) >= 3 and not [c for c in columns if re.search(r"\b(text|text_clean|url)#", c)]
+    assert before_running(pool).count("FileScan parquet [id") == 1
+    rest = [i for i in range(1000) if (i % 3 or i % 10 == 0) and (i % 3 or i % 7 == 0)]
+    wanted = {c: next(i for i in rest if i % 300 == c) for c in {i % 300 for i in rest}}
+    assert sorted(r.id for r in narrow.collect()) == sorted(wanted.values())
+    monkeypatch.undo()
+    few = labelling.unlabelled_pool(posts, posts.filter("id % 3 = 0"), ["id"])
+    assert before_running(few).count("BroadcastHashJoin") == 2
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, pool.collect()))
+
+
 def test_sketched_medians_meet_their_rows_without_a_shuffle(spark, merge_joins):
     """Six keys would be six tasks that sort all rows."""
     plan = before_running(QUERIES["a10_median_approx"](spark, FOLDER))

@@ -45,10 +45,13 @@ def measured_bytes(strings: DataFrame) -> int:
 
 
 def _spread(
-    left: DataFrame, right: DataFrame, on: str, salts: int
+    left: DataFrame, right: DataFrame, on: str, salts: int, row: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides with the additional join columns, and all join columns."""
-    row = left.columns
+    """Both sides with the additional join columns, and all join columns.
+
+    Rows are told apart by ``row``, all columns of the left side if it isn't given.
+    """
+    row = left.columns if row is None else row
     key = F.hash(F.col(on).cast("string"))  # equal for numbers of different width
     left = left.withColumn("_hash", F.when(F.col(on).isNull(), F.hash(*row)).otherwise(key))
     right = right.withColumn("_hash", key)
@@ -59,13 +62,24 @@ def _spread(
     return left, right, [on, "_hash", "_salt"]
 
 
+def digest_of(column: str) -> Column:
+    """Digest of a string as 32 bytes; null for null."""
+    return F.unhex(F.sha2(F.col(column), 256))
+
+
 def exclude_matches(
-    df: DataFrame, known: DataFrame, on: str, known_column: str | None = None, salts: int = 1
+    df: DataFrame,
+    known: DataFrame,
+    on: str,
+    known_column: str | None = None,
+    salts: int = 1,
+    row: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows whose ``on`` value does not occur in ``known``; null never matches, so it stays.
 
     Strings are compared by their digest, so a text is not a shuffle key and none is sent from
-    ``known``. Repeated keys of ``known`` do no harm to an anti join and are left in.
+    ``known``. Repeated keys of ``known`` do no harm to an anti join and are left in. ``row`` names the
+    columns by which rows without a key are spread, where not all columns are to be read for it.
     """
     source = known_column or on
     as_text = df.schema[on].dataType == known.schema[source].dataType == StringType()
@@ -73,7 +87,7 @@ def exclude_matches(
         F.sha2(F.col(c), 256) if as_text else F.col(c) for c in (on, source)
     )
     keys = known.select(right_key.alias("_key")).filter(F.col("_key").isNotNull())
-    left, right, columns = _spread(df.withColumn("_key", left_key), keys, "_key", salts)
+    left, right, columns = _spread(df.withColumn("_key", left_key), keys, "_key", salts, row)
     return left.join(right, columns, "left_anti").select(*df.columns)
 
 
