@@ -9,11 +9,12 @@ from checks.views import FLIP_TO, FLIPS, LABELS, PROBS
 from tidepost.functions.scores import softmax
 from tidepost.functions.text import clean_text
 from tidepost.operators.classify import irony_predictions, with_uncertainty
+from tidepost.operators.ranking import row_hash
 from tidepost.plans.active import assemble, baseline_as_scored, select_candidates
 from tidepost.plans.export import ExportTypes, export_results
 from tidepost.plans.labelling import labelled_baseline, unlabelled_pool
 from tidepost.plans.merge import merge_predictions
-from tidepost.session import scratch_path
+from tidepost.session import materialize, scratch_path
 from tidepost.sources.files import read_posts_csv
 
 _BASELINE = f"""SELECT id, url, text, sentiment, CASE sentiment WHEN 'negative' THEN 0
@@ -39,11 +40,6 @@ def l1(v):
     )
 
 
-def pool_of(v):
-    posts = v.scored_posts.withColumn("text_clean", clean_text("text"))
-    return unlabelled_pool(posts, baseline_of(v), ["id"])
-
-
 @query(
     "l2_unlabelled_pool",
     f"SELECT id, 'unlabeled' AS label_source, true AS review_required FROM ({POOL})",
@@ -103,10 +99,17 @@ _CANDIDATES = f"""SELECT u.* FROM uncertain u JOIN ({_POOL_IDS}) p ON p.id = u.i
     ORDER BY u.uncertainty_margin, u.uncertainty_entropy DESC, u.id LIMIT 100"""
 
 
-def candidates_of(v):
-    scored = with_uncertainty(pool_of(v), PROBS, LABELS)
-    rows = baseline_of(v).count()
-    return select_candidates(scored, rows, rows + 100, ["id"], "al_prediction")
+def candidates_of(v, baseline):
+    """Candidates beside a written baseline; the pool is ranked by scores and hashes of its rows."""
+    row = row_hash(v.posts).alias("_row")
+    cleaned = clean_text("text").alias("text_clean")
+    pool = unlabelled_pool(v.scored_posts.select("*", row, cleaned), baseline, ["id"])
+    scored = with_uncertainty(pool, PROBS, LABELS)
+    rows = baseline.count()
+    posts = v.posts.select("*", row, cleaned)
+    return select_candidates(
+        scored, rows, rows + 100, ["id"], "al_prediction", posts=posts, row="_row"
+    ).drop("_row")
 
 
 @query(
@@ -116,7 +119,9 @@ def candidates_of(v):
     "valid uncertain",
 )
 def l8(v):
-    return candidates_of(v).select("id", "sentiment", "label_source", "review_required")
+    baseline = materialize(baseline_of(v), "baseline")
+    chosen = candidates_of(v, baseline)
+    return chosen.select("id", "sentiment", "label_source", "review_required")
 
 
 @query(
@@ -145,9 +150,10 @@ def l9(v):
     "valid uncertain",
 )
 def l10(v):
+    baseline = materialize(baseline_of(v), "baseline")
     return assemble(
-        baseline_as_scored(baseline_of(v), LABELS, PROBS),
-        candidates_of(v),
+        baseline_as_scored(baseline, LABELS, PROBS),
+        candidates_of(v, baseline),
         unused=["lang", "source", *PROBS],
     )
 

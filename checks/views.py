@@ -46,18 +46,18 @@ class Views:
 
     def table(self, name: str) -> DataFrame:
         """A given table. The text tables may be one file with one row group, which one task reads;
-        those are dealt to all cores."""
+        those are dealt to all cores. Files for half of the cores are read as they are, as dealing would
+        shuffle all texts."""
         df = read_stage(self.spark, f"{self.folder}/{name}.parquet")
         cores = self.spark.sparkContext.defaultParallelism
-        if name in ("documents", "pages") and df.rdd.getNumPartitions() <= cores:
-            df = df.repartition(cores)
+        if name in ("documents", "pages") and 2 * len(df.inputFiles()) < cores:
+            if df.rdd.getNumPartitions() <= cores:
+                df = df.repartition(cores)
         return df
 
-    @cached_property
-    def posts(self) -> DataFrame:
-        """A post per document, with the author, time and counts of an event."""
-        d, e = self.table("documents"), self.table("events")
-        return d.join(e, F.col("event_id") == F.col("doc_id") * 5).select(
+    def posts_of(self, documents: DataFrame, events: DataFrame, *more: str) -> DataFrame:
+        """Posts of given documents and events, with further columns that these have."""
+        return documents.join(events, F.col("event_id") == F.col("doc_id") * 5).select(
             F.col("doc_id").alias("id"),
             F.concat(
                 F.lit("https://x.com/u"), "user_id", F.lit("/status/"), "event_id"
@@ -75,8 +75,14 @@ class Views:
             (F.col("doc_id") % 7).alias("like_count"),
             (F.col("doc_id") % 3).alias("repost_count"),
             (F.col("doc_id") % 5).alias("reply_count"),
+            *more,
         )
 
+    @cached_property
+    def posts(self) -> DataFrame:
+        """A post per document, with the author, time and counts of an event."""
+        return self.posts_of(self.table("documents"), self.table("events"))
+
     @cached_property
     def posts_raw(self) -> DataFrame:
         """Two scrapes: all posts, and those of viewed events again with more views."""
@@ -89,8 +95,13 @@ class Views:
 
     @cached_property
     def labelled_raw(self) -> DataFrame:
-        """Labelled posts with loosely written labels, some of them unknown."""
-        rows = self.posts.join(self.table("labels"), F.col("id") == F.col("doc_id"))
+        """Labelled posts with loosely written labels, some of them unknown.
+
+        Documents meet their labels first, so that no other text is shuffled to the events.
+        """
+        labels = self.table("labels").select("doc_id", "toxic", "quality")
+        labelled = self.table("documents").join(labels, "doc_id")
+        rows = self.posts_of(labelled, self.table("events"), "toxic", "quality")
         label = (
             F.when(F.col("toxic") == 1, " Negative")
             .when(F.col("quality") == 0, "neutral ")
@@ -119,10 +130,15 @@ class Views:
 
     @cached_property
     def scored_posts(self) -> DataFrame:
-        """Posts with the probabilities of one of the embeddings."""
+        """Posts with the probabilities of one of the embeddings.
+
+        A post's id is a fifth of its event's, so events get the probabilities before they meet the
+        texts, which are shuffled no further time.
+        """
         vectors = self.table("embeddings").agg(F.count(F.lit(1))).scalar()
-        keyed = self.posts.withColumn("vec_id", F.col("id") % vectors)
-        return keyed.join(self.scored, "vec_id").drop("vec_id")
+        events = self.table("events").filter("event_id % 5 = 0")
+        keyed = events.withColumn("vec_id", F.expr("event_id div 5") % vectors)
+        return self.posts_of(self.table("documents"), keyed.join(self.scored, "vec_id"), *PROBS)
 
     @cached_property
     def al_set(self) -> DataFrame:

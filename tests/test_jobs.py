@@ -228,6 +228,11 @@ def test_candidates_are_ranked_without_texts(spark, pool, model):
         whole = active.select_candidates(scored, 0, 10, ["id"])
         assert narrow.columns == whole.columns
         assert narrow.collect() == whole.collect()
+        hashed = F.xxhash64("id", "text").alias("_row")
+        marked = active.select_candidates(
+            scored.select("*", hashed), 0, 10, ["id"], posts=pool.select("*", hashed), row="_row"
+        )
+        assert marked.drop("_row").collect() == whole.collect()
     assert set(scratch.iterdir()) == before
 
 
@@ -251,6 +256,17 @@ def test_candidates_with_null_and_repeated_ids(spark):
         assert chosen.columns == active.select_candidates(scored, 0, 3, ["id"]).columns
 
 
+@pytest.mark.parametrize("name", ["l8_select_candidates", "l10_assemble"])
+def test_queries_write_no_text_of_the_scored_pool(spark, name):
+    scratch = Path(scratch_dir(spark))
+    before = set(scratch.iterdir())
+    with scratch_scope(spark):
+        assert QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+        (written,) = set(scratch.glob("scored-pool-*")) - before
+        columns = spark.read.parquet(str(written)).columns
+    assert "uncertainty_margin" in columns and not {"text", "text_clean", "url"} & set(columns)
+
+
 @pytest.mark.parametrize("name", ["l3_train_report", "l8_select_candidates", "l10_assemble"])
 def test_scratch_tables_are_removed(spark, name):
     scratch = Path(scratch_dir(spark))

@@ -200,3 +200,39 @@ def test_files_of_lines_are_written_by_many_tasks(spark, merge_joins, name, head
         lines = [f.read_text().splitlines() for f in files]
     assert len(files) > 4 and all(x[0] == header and header not in x[1:] for x in lines)
     assert max(map(len, lines)) < sum(map(len, lines)) / 3
+
+
+def _view_tables(spark, folder):
+    """Tables with repeated, absent and null keys."""
+    documents = [(i, f"text {i}", "en", "web") for i in range(40)] + [(3, "again", None, "web"), (None, "x", "en", "y")]
+    spark.createDataFrame(documents, "doc_id long, text string, lang string, source string").write.parquet(
+        f"{folder}/documents.parquet"
+    )
+    events = [(i, i % 4, ["view", "click", "signup", None][i // 5 % 4], i / 3) for i in range(170)]
+    events += [(15, 9, "view", 1.0), (None, 1, "view", 2.0)]
+    rows = spark.createDataFrame(events, "event_id long, user_id long, event_type string, value double")
+    rows.withColumn("ts", F.timestamp_seconds("event_id")).write.parquet(f"{folder}/events.parquet")
+    labels = [(i, i % 2, i % 3) for i in range(0, 40, 3)] + [(3, 1, 1), (None, 1, 1), (6, None, None)]
+    spark.createDataFrame(labels, "doc_id long, toxic long, quality long").write.parquet(f"{folder}/labels.parquet")
+    vectors = [(i, [i / 9, 0.2, -i / 7, 0.1]) for i in range(9)] + [(4, [0.5, 0.5, 0.1, 0.0]), (None, [0.0] * 4), (11, None)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+
+
+def test_views_join_what_is_narrow_first(spark, merge_joins, tmp_path):
+    """Labelled and scored posts are those of a plain join; their texts are shuffled once less."""
+    _view_tables(spark, tmp_path)
+    v = Views(spark, str(tmp_path))
+    labels = v.table("labels").select("doc_id", "toxic", "quality")
+    plain = v.posts.join(labels, F.col("id") == F.col("doc_id"))
+    label = (
+        F.when(F.col("toxic") == 1, " Negative").when(F.col("quality") == 0, "neutral ")
+        .when(F.col("event_type") == "signup", "unknown").otherwise("POSITIVE")
+    )
+    plain = plain.select("id", "url", "text", "lang", label.alias("sentiment"))
+    assert plain.columns == v.labelled_raw.columns
+    assert sorted(map(str, plain.collect())) == sorted(map(str, v.labelled_raw.collect()))
+    vectors = v.table("embeddings").count()
+    joined = v.posts.withColumn("vec_id", F.col("id") % vectors).join(v.scored, "vec_id").drop("vec_id")
+    assert joined.columns == v.scored_posts.columns
+    assert sorted(map(str, joined.collect())) == sorted(map(str, v.scored_posts.collect()))
+    assert len([c for c in exchanged(v.scored_posts) if "text#" in c and "Round" not in c]) < 3

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepost.operators.ranking import most_uncertain, row_hash, top_n
+from tidepost.operators.ranking import TOP_K_ROWS, most_uncertain, row_hash, top_n
 from tidepost.operators.shape import align, drop_present, union_all
 from tidepost.session import materialize
 
@@ -22,6 +22,7 @@ def select_candidates(
     written: bool = False,
     posts: DataFrame | None = None,
     key: str = "id",
+    row: str | None = None,
 ) -> DataFrame:
     """The least certain rows of a scored pool that fill the labelled rows up to ``target``.
 
@@ -32,13 +33,15 @@ def select_candidates(
     table that was scored, only the scores, ``key`` and a hash of the row are written and ranked,
     and the other columns are fetched for the chosen rows by both. Keys may be null or repeated:
     rows that have the key and the hash in common are equal, so each chosen one gets that row once.
+    ``row`` names a column of both that holds such a hash already, so that the scored pool needs no
+    other column of ``posts``. Up to ``TOP_K_ROWS`` rows, those of ``posts`` are looked for by key first.
     """
     needed = max(0, target - labelled_rows)
     columns = scored.columns
     if posts is not None:
         shared = [c for c in posts.columns if c in columns]
-        row = row_hash(posts.select(*shared)).alias("__row")
-        scored = scored.select(key, *[c for c in columns if c not in shared], row)
+        hashed = (F.col(row) if row else row_hash(posts.select(*shared))).alias("__row")
+        scored = scored.select(key, *[c for c in columns if c not in shared], hashed)
         ties = [*ties, "__row"]
     if needed and not written:
         scored = materialize(scored, "scored-pool")
@@ -61,7 +64,11 @@ def select_candidates(
             F.collect_list(scores).alias("__scores")
         )
         same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__row") == F.col("__chosen"))
-        found = posts.select(*shared, row).join(chosen, same).dropDuplicates([key, "__row"])
+        if 0 < needed <= TOP_K_ROWS:
+            keys = ranked.agg(F.collect_set(key)).scalar()
+            posts = posts.filter(F.coalesce(F.array_contains(keys, F.col(key)), F.lit(True)))
+            chosen = F.broadcast(chosen)  # at most TOP_K_ROWS
+        found = posts.select(*shared, hashed).join(chosen, same).dropDuplicates([key, "__row"])
         ranked = (
             found.select(*shared, "__row", F.explode("__scores").alias("__score"))
             .select(*shared, "__row", "__score.*")
