@@ -19,7 +19,13 @@ from tidepost.operators.classify import (
 )
 from tidepost.operators.evaluate import classification_report
 from tidepost.operators.sampling import split_by_hash
-from tidepost.operators.terms import choose_model, count_model, fitted_model, score_terms
+from tidepost.operators.terms import (
+    choose_model,
+    count_model,
+    fitted_model,
+    score_terms,
+    with_slots,
+)
 from tidepost.plans.labelling import valid_labels
 from tidepost.session import materialize, scratch_path
 
@@ -189,12 +195,15 @@ def l3_choice(v):
 def l7_model(v):
     classes, probs, slots = ["plain", "ironic"], ["p0", "p1"], 1 << 12
     ironic = F.contains(F.lower("text"), F.lit(_THE))
-    marked = v.posts.withColumn("irony", F.when(ironic, "ironic").otherwise("plain"))
+    posts = v.posts.select("id", "text", ironic.cast("int").alias("truth"))
+    # read once; learned from and scored by the same slots
+    marked = materialize(with_slots(posts, "text", slots).drop("text"), "term-slots")
+    marked = marked.withColumn("irony", F.when(F.col("truth") == 1, "ironic").otherwise("plain"))
     train, _ = split_by_hash(marked, "id")
-    model = materialize(fitted_model(train, "text", "irony", classes, slots=slots), "weights")
-    scored = score_terms(marked, model, "text", probs, slots)
+    model = materialize(fitted_model(train, "slots", "irony", classes, slots=slots), "weights")
+    scored = score_terms(marked, model, "slots", probs, slots)
     predicted = irony_predictions(scored, "id", probs)
-    truth = marked.select(F.col("id").cast("string").alias("id"), ironic.cast("int").alias("truth"))
+    truth = marked.select(F.col("id").cast("string").alias("id"), "truth")
     checked = materialize(predicted.join(truth, "id"), "irony")
     rows, positive = F.count(F.lit(1)), F.sum("truth")
     held_out = split_by_hash(checked, "id")[1].agg(

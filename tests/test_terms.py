@@ -8,8 +8,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import QUERIES
 from tidepost.operators import terms
 from tidepost.operators.sampling import split_by_hash
+from tidepost.session import materialize, scratch_scope
 
 LABELS = ["no", "maybe", "yes"]
 GOOD, BAD = "great lovely happy sunny win", "awful broken sad angry fail"
@@ -96,3 +98,27 @@ def test_model_of_no_rows(known):
     model = terms.count_model(known.filter("id < 0"), "text", "label", LABELS, 16)
     scored = terms.score_terms(known, model, "text", ["a", "b", "c"], 16).first()
     assert [scored[c] for c in "abc"] == pytest.approx([1 / 3] * 3)
+
+
+def test_slots_stand_for_texts(spark, known):
+    """Learning from written slots and scoring by them is the same as by the texts."""
+    slots = 64
+    marked = materialize(terms.with_slots(known, "text", slots, "places").drop("text"), "slots")
+    for build in (terms.count_model, terms.fitted_model):
+        model = materialize(build(known, "text", "label", LABELS, slots=slots), "model")
+        again = build(marked, "places", "label", LABELS, slots=slots)
+        weights = lambda m: {r["slot"]: r["weights"] for r in m.collect()}
+        first, second = weights(model), weights(again)
+        assert first.keys() == second.keys()
+        assert all(second[k] == pytest.approx(first[k], abs=1e-9) for k in first)
+        by_text = terms.score_terms(known, model, "text", ["a", "b", "c"], slots).drop("text")
+        by_slots = terms.score_terms(marked, model, "places", ["a", "b", "c"], slots).drop("places")
+        assert sorted(map(tuple, by_text.collect())) == sorted(map(tuple, by_slots.collect()))
+
+
+def test_irony_model_hashes_terms_once(spark, monkeypatch):
+    hashed = []
+    monkeypatch.setattr(terms, "slot_of", lambda t, n, f=terms.slot_of: hashed.append(n) or f(t, n))
+    with scratch_scope(spark):
+        assert QUERIES["l7_irony_model"](spark, "/root/testdata/sf0.001").first()["learned"]
+    assert len(hashed) == 1

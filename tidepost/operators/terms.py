@@ -40,13 +40,25 @@ def slot_of(term: Column, slots: int) -> Column:
     return (F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("bigint") % slots).cast("int")
 
 
-def _slots(text: Column | str, slots: int) -> Column:
+def _slots(df: DataFrame, text: str, slots: int) -> Column:
+    """Slots of a text's terms; a column of integers holds them already."""
+    if dict(df.dtypes)[text] == "array<int>":
+        return F.col(text)
     return F.transform(terms(text), lambda t: slot_of(t, slots))
 
 
+def with_slots(df: DataFrame, text: str, slots: int = 1 << 16, name: str = "slots") -> DataFrame:
+    """Add the slots of each text's terms, which models are learned from and texts are scored by.
+
+    Where the same texts are for both, write them with their slots and name that column as the text:
+    each term is hashed once then.
+    """
+    return compute_once(df, **{name: _slots(df, text, slots)})
+
+
 def _labelled(df: DataFrame, text: str, label: str, labels: Sequence[str], slots: int) -> DataFrame:
     rows = df.select(
-        encode_label(label, labels).alias("class"), _slots(text, slots).alias("slots")
+        encode_label(label, labels).alias("class"), _slots(df, text, slots).alias("slots")
     )
     return rows.filter(F.col("class") >= 0)
 
@@ -132,16 +144,16 @@ def score_terms(
     """Add a probability column for each class, in class order; a null text is scored as ''."""
     classes = range(len(names))
     nothing = F.array(*[F.lit(0.0) for _ in classes])
+
+    def added(sums: Column, place: Column) -> Column:
+        weights = F.coalesce(F.get(F.col("_weights"), place), nothing)
+        return F.zip_with(sums, weights, lambda a, b: a + b)
+
     # the first place of the weights is what every text gets
-    places = F.concat(F.array(F.lit(0)), F.transform(_slots(text, slots), lambda i: i + 1))
-    totals = F.aggregate(
-        "_places",
-        nothing,
-        lambda s, i: F.zip_with(
-            s, F.coalesce(F.get(F.col("_weights"), i), nothing), lambda a, b: a + b
-        ),
+    totals = F.aggregate("_slots", added(nothing, F.lit(0)), lambda s, i: added(s, i + 1))
+    placed = compute_once(df, _slots=_slots(df, text, slots)).withColumn(
+        "_weights", weights_by_slot(model, slots)
     )
-    placed = compute_once(df, _places=places).withColumn("_weights", weights_by_slot(model, slots))
     scored = placed.select(*df.columns, totals.alias("_logits"))
     probs = softmax([F.col("_logits")[k] for k in classes])
     return scored.select(*df.columns, *[p.alias(n) for p, n in zip(probs, names, strict=True)])
